@@ -145,9 +145,9 @@ h AS (
 seed AS (SELECT code, p_type AS i, p_brand AS n FROM coded WHERE p_partkey % 3 <> 0),
 keys AS (
   SELECT k, i, n FROM (
-    SELECT substr(code, 1, 3) || substr(code, 8, 2) AS k, i, n,
-           row_number() OVER (PARTITION BY substr(code, 1, 3) || substr(code, 8, 2) ORDER BY count(*) DESC, i, n) AS r
-    FROM seed GROUP BY ALL) WHERE r = 1),
+    SELECT k, i, n, row_number() OVER (PARTITION BY k ORDER BY c DESC, i, n) AS r FROM (
+      SELECT substr(code, 1, 3) || substr(code, 8, 2) AS k, i, n, count(*) AS c FROM seed GROUP BY 1, 2, 3))
+  WHERE r = 1),
 alias AS (SELECT code AS a, reverse(code) AS b FROM coded WHERE p_partkey % 11 = 1),
 names AS (SELECT code, p_name AS nm FROM coded WHERE p_partkey % 4 <> 1),
 byname AS (
