@@ -86,7 +86,8 @@ def period_flags(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select(
         "o_orderkey", P.period_matches(n, m).cast("int").alias("matches"), P.period_conflicts(n, m).cast("int").alias("conflicts"),
         P.period_equals(n, m).cast("int").alias("equals"), P.period_or_default(n, m).cast("int").alias("defaulted"),
-        F.get(P.title_periods(F.col("title")), F.lit(0)).alias("after_as_on"))
+        F.when(F.array_contains(P.title_periods(F.col("title")), F.date_format("d", "yyyy-MM")), F.date_format("d", "yyyy-MM"))
+        .alias("after_as_on"))
 
 
 @query("period_calendar", f"""
@@ -272,7 +273,7 @@ def list_items(spark: SparkSession, sf: str) -> DataFrame:
 SELECT page_id, count(*) AS records, min(w) AS first_url FROM (
   SELECT page_id, unnest(regexp_extract_all(html, '<a href="(/[A-Za-z]+)"', 1)) AS w FROM pages) GROUP BY 1""")
 def pushed_records(spark: SparkSession, sf: str) -> DataFrame:
-    html = F.regexp_replace("html", r'<a href="(/[A-Za-z]+)"', r"downloadList.push({ Title: 'It\\\\'s $1', Url: \"$1\" });<a")
+    html = F.regexp_replace("html", r'<a href="(/[A-Za-z]+)"', r"downloadList.push({ Title: 'It\\'s $1', Url: \"$1\" });<a")
     rows = L.pushed_records(table(spark, sf, "pages").select("page_id", html.alias("html")), "downloadList\\.push")
     rows = rows.filter(F.col("title").startswith("It's "))
     return rows.groupBy("page_id").agg(F.count(F.lit(1)).alias("records"), F.min("url").alias("first_url"))
@@ -357,7 +358,7 @@ def catalogue_corrections(spark: SparkSession, sf: str) -> DataFrame:
     listed = docs.filter("period <> '5'")
     stale = listed.filter("period = '7' or url like '%3'")
     fixes = docs.select("amc").distinct().select(
-        "amc", F.explode(F.sequence(F.lit(5), F.lit(8))).cast("string").alias("period"), F.lit("fix").alias("url"))
+        "amc", F.explode(F.array(*map(F.lit, ("5", "6", "7", "8")))).alias("period"), F.lit("fix").alias("url"))
     return L.apply_corrections(listed, stale, fixes)
 
 
@@ -365,8 +366,8 @@ def catalogue_corrections(spark: SparkSession, sf: str) -> DataFrame:
 WITH d AS (SELECT doc_id, source AS listing, '202' || doc_id % 4 || '/0' || (1 + doc_id % 3) AS folder FROM documents),
 c AS (SELECT listing, folder, count(*) AS n FROM d WHERE doc_id % 10 <> 0 GROUP BY 1, 2),
 b AS (SELECT listing, arg_min(folder, (-n, folder)) AS best FROM c GROUP BY 1)
-SELECT doc_id, 'https://x.example/' || CASE WHEN doc_id % 10 = 0 THEN best ELSE folder END || '/f' || doc_id || '.xlsx' AS url
-FROM d JOIN b USING (listing)""")
+SELECT doc_id, 'https://x.example/' || CASE WHEN doc_id % 10 = 0 THEN coalesce(best, 'date_year/09') ELSE folder END || '/f' || doc_id || '.xlsx' AS url
+FROM d LEFT JOIN b USING (listing)""")
 def folder_repair(spark: SparkSession, sf: str) -> DataFrame:
     d = F.col("doc_id")
     folder = F.when(d % 10 == 0, "date_year/09").otherwise(

@@ -98,51 +98,51 @@ def ordered_scan(
     sums, lasts, previous = dict(sums or {}), dict(lasts or {}), dict(previous or {})
     if position:
         sums[position] = F.lit(1).cast("long")
-    work = df.withColumn("__block", block)
+    work = df.withColumn("__scan_block", block)
 
-    within = Window.partitionBy(*keys, "__block").orderBy(*order)
+    within = Window.partitionBy(*keys, "__scan_block").orderBy(*order)
     upto = within.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = {}
     for name, expr in sums.items():
-        local[f"__s_{name}"] = F.coalesce(F.sum(expr).over(upto), F.lit(0))
+        local[f"__scan_s_{name}"] = F.coalesce(F.sum(expr).over(upto), F.lit(0))
     for name, expr in lasts.items():
-        local[f"__l_{name}"] = F.last(expr, ignorenulls=True).over(upto)
+        local[f"__scan_l_{name}"] = F.last(expr, ignorenulls=True).over(upto)
     for name, expr in previous.items():
-        local[f"__p_{name}"] = F.lag(expr).over(within)
-        local[f"__f_{name}"] = F.row_number().over(within) == 1
+        local[f"__scan_p_{name}"] = F.lag(expr).over(within)
+        local[f"__scan_f_{name}"] = F.row_number().over(within) == 1
     rows = work.withColumns(local)
 
     place = F.struct(*order)
     parts = []
     for name, expr in sums.items():
-        parts.append(F.coalesce(F.sum(expr), F.lit(0)).alias(f"__s_{name}"))
+        parts.append(F.coalesce(F.sum(expr), F.lit(0)).alias(f"__scan_s_{name}"))
     for name, expr in lasts.items():
-        parts.append(F.max(F.when(expr.isNotNull(), F.struct(*order, expr.alias("__v")))).alias(f"__l_{name}"))
+        parts.append(F.max(F.when(expr.isNotNull(), F.struct(*order, expr.alias("__v")))).alias(f"__scan_l_{name}"))
     for name, expr in previous.items():
-        parts.append(F.max_by(expr, place).alias(f"__p_{name}"))
-    blocks = work.groupBy(*keys, "__block").agg(*parts)
+        parts.append(F.max_by(expr, place).alias(f"__scan_p_{name}"))
+    blocks = work.groupBy(*keys, "__scan_block").agg(*parts)
 
-    between = Window.partitionBy(*keys).orderBy("__block")
+    between = Window.partitionBy(*keys).orderBy("__scan_block")
     before = between.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [*keys, "__block"]
+    carried = [*keys, "__scan_block"]
     for name in sums:
-        carried.append(F.coalesce(F.sum(f"__s_{name}").over(before), F.lit(0)).alias(f"__c_s_{name}"))
+        carried.append(F.coalesce(F.sum(f"__scan_s_{name}").over(before), F.lit(0)).alias(f"__scan_c_s_{name}"))
     for name in lasts:
-        carried.append(F.last(f"__l_{name}", ignorenulls=True).over(before)["__v"].alias(f"__c_l_{name}"))
+        carried.append(F.last(f"__scan_l_{name}", ignorenulls=True).over(before)["__v"].alias(f"__scan_c_l_{name}"))
     for name in previous:
-        carried.append(F.lag(f"__p_{name}").over(between).alias(f"__c_p_{name}"))
-    joined = null_safe_join(rows, blocks.select(*carried), [*keys, "__block"], "left")
+        carried.append(F.lag(f"__scan_p_{name}").over(between).alias(f"__scan_c_p_{name}"))
+    joined = null_safe_join(rows, blocks.select(*carried), [*keys, "__scan_block"], "left")
 
     out = {}
     for name in sums:
-        out[name] = F.col(f"__s_{name}") + F.col(f"__c_s_{name}")
+        out[name] = F.col(f"__scan_s_{name}") + F.col(f"__scan_c_s_{name}")
     for name in lasts:
-        out[name] = F.coalesce(F.col(f"__l_{name}"), F.col(f"__c_l_{name}"))
+        out[name] = F.coalesce(F.col(f"__scan_l_{name}"), F.col(f"__scan_c_l_{name}"))
     for name in previous:
-        out[name] = F.when(F.col(f"__f_{name}"), F.col(f"__c_p_{name}")).otherwise(F.col(f"__p_{name}"))
+        out[name] = F.when(F.col(f"__scan_f_{name}"), F.col(f"__scan_c_p_{name}")).otherwise(F.col(f"__scan_p_{name}"))
     if position:
         out[position] = out[position] - 1
-    scratch = [c for c in joined.columns if c.startswith("__")]
+    scratch = [c for c in joined.columns if c.startswith("__scan_")]
     return joined.withColumns(out).drop(*scratch)
 
 
