@@ -222,3 +222,54 @@ def first_reaching(
         .withColumns({out: F.col("__hit")["__pos"], f"{out}_level": F.col("__hit")["__lvl"]})
         .drop(*scratch)
     )
+
+
+def grid(left: DataFrame, right: DataFrame, keys: Names, left_id: str, right_id: str,
+         left_rows: int = 1024, right_rows: int = 512):
+    """Cogroup two sides of every key in bounded tiles, for work that must see all pairs.
+
+    Rows of a key are spread by hash over tiles of about ``left_rows`` x ``right_rows``; a row is
+    copied once per tile of the other side, never once per partner. Both ids must be distinct
+    within their key. Returns a cogrouped pair ready for applyInPandas.
+    """
+    keys = _names(keys)
+    n_left = left.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / left_rows).alias("__nl"))
+    n_right = right.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / right_rows).alias("__nr"))
+    tiles = n_left.join(n_right, keys)
+
+    def spread(df: DataFrame, row_id: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
+        placed = df.join(tiles, keys).withColumn(own, F.pmod(F.xxhash64(row_id), F.col(own_n)))
+        copies = F.sequence(F.lit(0).cast("bigint"), F.col(other_n).cast("bigint") - 1)
+        return placed.withColumn(other, F.explode(copies)).drop("__nl", "__nr")
+
+    rows = spread(left, left_id, "__tr", "__nl", "__tc", "__nr")
+    cols = spread(right, right_id, "__tc", "__nr", "__tr", "__nl")
+    tile = [*keys, "__tr", "__tc"]
+    return rows.groupBy(*tile).cogroup(cols.groupBy(*tile))
+
+
+def contained_pairs(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
+                    prefix_only: bool = False) -> DataFrame:
+    """Rows of both sides where one key contains the other (or starts with it).
+
+    A contained text starts with a short gram of the text around it, so both directions are
+    equi-joins on grams of up to three characters, filtered by the real test.
+    """
+    def head(c: str) -> Column:
+        return F.substring(c, 1, 3)
+
+    def grams(c: str) -> Column:
+        starts = F.sequence(F.lit(1), F.lit(1) if prefix_only else F.length(c))
+        each = F.transform(starts, lambda i: F.array(*[F.substring(F.col(c), i, n) for n in (1, 2, 3)]))
+        return F.array_distinct(F.flatten(each))
+
+    def direction(small: DataFrame, small_key: str, big: DataFrame, big_key: str) -> DataFrame:
+        a = small.filter(F.length(small_key) > 0).withColumn("__g", head(small_key))
+        b = big.filter(F.length(big_key) > 0).withColumn("__g", F.explode(grams(big_key)))
+        inside = F.col(big_key).startswith(F.col(small_key)) if prefix_only else F.col(big_key).contains(F.col(small_key))
+        return a.join(b, "__g").filter(inside).drop("__g")
+
+    cols = [*left.columns, *right.columns]
+    both = direction(left, left_key, right, right_key).select(*cols).unionByName(
+        direction(right, right_key, left, left_key).select(*cols))
+    return both.distinct()
