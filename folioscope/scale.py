@@ -240,7 +240,8 @@ def grid(left: DataFrame, right: DataFrame, keys: Names, left_id: str, right_id:
     def spread(df: DataFrame, row_id: str, own: str, own_n: str, other: str, other_n: str) -> DataFrame:
         placed = df.join(tiles, keys).withColumn(own, F.pmod(F.xxhash64(row_id), F.col(own_n)))
         copies = F.sequence(F.lit(0).cast("bigint"), F.col(other_n).cast("bigint") - 1)
-        return placed.withColumn(other, F.explode(copies)).drop("__nl", "__nr")
+        out = placed.withColumn(other, F.explode(copies)).drop("__nl", "__nr")
+        return out.toDF(*out.columns)  # fresh columns: both sides may come from one table
 
     rows = spread(left, left_id, "__tr", "__nl", "__tc", "__nr")
     cols = spread(right, right_id, "__tc", "__nr", "__tr", "__nl")
