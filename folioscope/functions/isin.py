@@ -28,9 +28,8 @@ def check_digits(code: Column) -> Column:
 
 def is_valid_isin(code: Column) -> Column:
     """Shape plus ISO 6166 check digit."""
-    shaped = has_isin_shape(code)
-    digits = F.when(shaped, check_digits(code))
-    return F.coalesce(shaped & F.call_function("luhn_check", digits), F.lit(False))
+    checked = F.when(_bare(code).rlike(fv.ISIN_PATTERN), F.call_function("luhn_check", check_digits(code)))
+    return F.coalesce(checked, F.lit(False))
 
 
 def is_contract_code(code: Column) -> Column:

@@ -18,7 +18,7 @@ from folioscope.functions.text import clean_html_text, unescape_entities
 from folioscope.functions.urls import (
     absolute_url, base_name, direct_url, growth_free, is_workbook_url, safe_name, suffix_of, url_part,
 )
-from folioscope.scale import first_rows, with_group_totals
+from folioscope.scale import exploded, first_rows, with_group_totals
 
 LINKS = T.StructType([
     T.StructField("page_id", T.LongType()), T.StructField("page_url", T.StringType()),
@@ -326,7 +326,7 @@ def split_misfiled(records: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def published_periods(df: DataFrame, keys: tuple[str, ...] = ("amc",), label: str = "label") -> DataFrame:
     """(keys, period): every period some label of the listing names."""
-    return df.select(*keys, F.explode(extract_periods(F.col(label))).alias("published")).distinct()
+    return exploded(df, extract_periods(F.col(label)), "published").select(*keys, "published").distinct()
 
 
 def workbook_rows(df: DataFrame, url: str = "url") -> DataFrame:

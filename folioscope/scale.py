@@ -42,6 +42,16 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def exploded(df: DataFrame, items: Column, name: str, position: str | None = None) -> DataFrame:
+    """One row per non-null array element.
+
+    The outer form is used on purpose: for the plain one Spark infers a filter on the array's size
+    and pushes it down, which evaluates a costly array expression once more.
+    """
+    made = F.posexplode_outer(items).alias(position, name) if position else F.explode_outer(items).alias(name)
+    return df.select("*", made).filter(F.col(name).isNotNull())
+
+
 def first_rows(df: DataFrame, keys: Names, order: Iterable[Column | str], n: int = 1) -> DataFrame:
     """The first ``n`` rows of every key in ``order``."""
     w = Window.partitionBy(*_names(keys)).orderBy(*order)
