@@ -192,9 +192,11 @@ def tag_holdings(rows: DataFrame, lookups: Lookups, block: Column | None = None)
     """Every input row with its outcome, classification and scheme figures.
 
     Restated totals go before the percent scale is judged: a header repeats the share of its
-    whole category and would push the sum past the threshold.
+    whole category and would push the sum past the threshold. The identified rows are settled:
+    the search for totals, the scheme figures and the cascade all read them.
     """
-    work = mark_restated_totals(with_identity(with_numbers(rows), lookups), block=block)
+    known = settle(with_identity(with_numbers(rows), lookups))
+    work = mark_restated_totals(known, block=block)
     figures = scheme_figures(work.filter(~F.col("is_restated")))
     work = classify_holdings(map_schemes(work, lookups.mapping), lookups)
     work = null_safe_join(work, figures, SCHEME, "left")

@@ -11,7 +11,7 @@ from folioscope.functions.text import cell_text
 from folioscope.operators import sheets
 from folioscope.operators.derivatives import derivative_holdings
 from folioscope.operators.sheets import FILE, SHEET, SHEET_KEYS
-from folioscope.scale import ordered_scan
+from folioscope.scale import ordered_scan, settle
 
 
 def scheme_index(cells: DataFrame) -> DataFrame:
@@ -76,12 +76,12 @@ def parse_fixed_layout(cells: DataFrame) -> DataFrame:
 
 
 def with_order(rows: DataFrame) -> DataFrame:
-    """Dense ``ord`` per (amc, period) in file, sheet, row order, and the month-end date."""
+    """Dense ``ord`` per (amc, period) in file, sheet, row order, and the month-end date (settled)."""
     placed = ordered_scan(
         rows, ["amc", "period"], ["source_file", "sheet_idx", "part", "row_idx"],
         F.struct("source_file", "sheet_idx"), position="ord")
     month_end = F.last_day(F.concat("period", F.lit("-01")).try_cast("date"))
-    return placed.withColumn("port_date", month_end).select(*[f.name for f in HOLDINGS_RAW.fields])
+    return settle(placed.withColumn("port_date", month_end).select(*[f.name for f in HOLDINGS_RAW.fields]))
 
 
 def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
@@ -98,9 +98,12 @@ def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
     def part(name: str) -> DataFrame:
         return tagged.filter(F.col("layout") == name).drop("layout")
 
-    by_index = scheme_from_index(part("index"), sheets.merge_receivables(sheets.parse_sheets(part("index")), overrides))
-    by_file = sheets.merge_receivables(sheets.parse_sheets(part("filename")), overrides).withColumn(
-        "scheme_name_raw", scheme_from_filename(F.col("source_file")))
+    plain = tagged.filter(F.col("layout").isin("index", "filename"))
+    held = settle(sheets.merge_receivables(sheets.parse_sheets(plain.drop("layout")), overrides))
+    named = held.join(layouts.filter("layout = 'filename'").select("amc"), "amc", "left_semi")
+    by_file = named.withColumn("scheme_name_raw", scheme_from_filename(F.col("source_file")))
+    listed = held.join(layouts.filter("layout = 'index'").select("amc"), "amc", "left_semi")
+    by_index = scheme_from_index(part("index"), listed)
     blocks_only = sheets.drop_duplicate_blocks(with_order(by_index.unionByName(by_file)))
     fixed = with_order(parse_fixed_layout(part("fixed")))
     generic = with_order_and_clean(_generic(part("generic"), overrides), overrides)
@@ -108,11 +111,11 @@ def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
 
 
 def _generic(cells: DataFrame, overrides: DataFrame | None) -> DataFrame:
-    held = sheets.merge_receivables(sheets.parse_sheets(cells), overrides)
+    held = settle(sheets.merge_receivables(sheets.parse_sheets(cells), overrides))
     return held.unionByName(derivative_holdings(cells, held))
 
 
 def with_order_and_clean(rows: DataFrame, overrides: DataFrame | None) -> DataFrame:
     """Repeated labels go first: they would break the split into equal copies."""
-    return sheets.drop_duplicate_blocks(sheets.drop_repeated_labels(with_order(rows), overrides))
+    return sheets.drop_duplicate_blocks(settle(sheets.drop_repeated_labels(with_order(settle(rows)), overrides)))
 
