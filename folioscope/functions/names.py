@@ -36,24 +36,30 @@ def words_of(name: Column) -> Column:
     return F.filter(F.split(bare, "[^A-Za-z0-9&]+"), lambda w: w != "")
 
 
+def _let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and use it several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def split_class_suffix(name: Column) -> Column:
     """struct(base, suffix): the suffix is the longest trailing run of share-class words."""
-    words = words_of(name)
     vocabulary = F.array(*[F.lit(w) for w in fv.SHARE_CLASS_WORDS])
-    own = F.filter(
-        F.transform(words, lambda w, i: F.when(~F.array_contains(vocabulary, F.lower(w)), i + 1)),
-        lambda i: i.isNotNull(),
-    )
-    keep = F.coalesce(F.array_max(own), F.lit(0))
-    size = F.size(words)
-    all_class = keep == 0
-    base = F.when(all_class, F.array_join(words, " ")).otherwise(
-        F.array_join(F.slice(words, 1, F.greatest(keep, F.lit(1))), " ")
-    )
-    suffix = F.when(all_class, F.lit("")).otherwise(
-        F.array_join(F.slice(words, keep + 1, F.greatest(size - keep, F.lit(0))), " ")
-    )
-    return F.struct(base.alias("base"), suffix.alias("suffix"))
+
+    def own_words(words: Column) -> Column:
+        """Number of words up to the last one that belongs to the fund's own name."""
+        places = F.transform(words, lambda w, i: F.when(~F.array_contains(vocabulary, F.lower(w)), i + 1))
+        return F.coalesce(F.array_max(places), F.lit(0))
+
+    def parts(words: Column) -> Column:
+        def cut(keep: Column) -> Column:
+            base = F.when(keep == 0, words).otherwise(F.slice(words, F.lit(1), keep))
+            suffix = F.when(keep == 0, F.slice(words, F.lit(1), F.lit(0))).otherwise(
+                F.slice(words, keep + 1, F.size(words) - keep))
+            return F.struct(F.array_join(base, " ").alias("base"), F.array_join(suffix, " ").alias("suffix"))
+
+        return _let(own_words(words), cut)
+
+    return _let(words_of(name), parts)
 
 
 def base_scheme_name(name: Column) -> Column:
@@ -71,11 +77,13 @@ def is_single_class(name: Column) -> Column:
 
 def is_regular_growth(name: Column) -> Column:
     """Regular plan and growth option, judged on the suffix only."""
-    suffix = class_suffix(name)
-    other_option = ~suffix.rlike(r"(?i)\bgrowth\b") & suffix.rlike(fv.ANY_OPTION_PATTERN)
-    regular = suffix.rlike(r"(?i)\bregular\b")
-    other_plan = suffix.rlike(r"(?i)\bdirect\b") | suffix.rlike(fv.OTHER_PLAN_PATTERN)
-    return (suffix != "") & ~suffix.rlike(fv.EXCLUDED_OPTION_PATTERN) & ~other_option & (regular | ~other_plan)
+    def test(suffix: Column) -> Column:
+        other_option = ~suffix.rlike(r"(?i)\bgrowth\b") & suffix.rlike(fv.ANY_OPTION_PATTERN)
+        regular = suffix.rlike(r"(?i)\bregular\b")
+        other_plan = suffix.rlike(r"(?i)\bdirect\b") | suffix.rlike(fv.OTHER_PLAN_PATTERN)
+        return (suffix != "") & ~suffix.rlike(fv.EXCLUDED_OPTION_PATTERN) & ~other_option & (regular | ~other_plan)
+
+    return _let(class_suffix(name), test)
 
 
 REPORT_PERIOD = (
