@@ -63,13 +63,18 @@ def reference_schemes(reference: DataFrame) -> DataFrame:
 
 # --- ragged house list ------------------------------------------------------------------
 
-def read_house_list(spark: SparkSession, path: str, encoding: str = "windows-1252") -> DataFrame:
+WINDOWS_ONLY = {chr(b): bytes([b]).decode("cp1252") for b in range(0x80, 0xA0) if b not in (0x81, 0x8D, 0x8F, 0x90, 0x9D)}
+
+
+def read_house_list(spark: SparkSession, path: str) -> DataFrame:
     """(house, code, isin_growth, isin_div, name, ordinal) of a ';' list with bare house lines.
 
-    The house is carried down in file order: byte offset of the split, then line.
+    The list is Windows-1252, which the readers do not know: it is read as Latin-1 and the bytes
+    that differ are translated. The house is carried down in file order: split offset, then line.
     """
-    lines = spark.read.option("encoding", encoding).option("sep", "\u0001").option("quote", "").schema(
-        "line string").csv(path).select("line", F.col("_metadata.file_path").alias("file"),
+    line = F.translate("line", "".join(WINDOWS_ONLY), "".join(WINDOWS_ONLY.values()))
+    lines = spark.read.option("encoding", "iso-8859-1").option("sep", "\u0001").option("quote", "").schema(
+        "line string").csv(path).select(line.alias("line"), F.col("_metadata.file_path").alias("file"),
                                         F.col("_metadata.file_block_start").alias("at"))
     return parse_house_list(lines.withColumn("line_no", F.monotonically_increasing_id()))
 
