@@ -140,8 +140,8 @@ def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
         return (np.abs(a - b) / np.maximum(np.maximum(abs(a), np.abs(b)), 1e-9) <= fv.ALIAS_TOLERANCE) | (
             (a == 0) & (b == 0))
 
-    mine = pdf[pdf["side"] == "ours"].sort_values("row_id")
-    theirs = pdf[pdf["side"] == "reference"].sort_values("row_id")
+    mine = pdf[pdf["side"] == "ours"].sort_values(["row_id", "isin"])
+    theirs = pdf[pdf["side"] == "reference"].sort_values(["row_id", "isin"])
     isins, free = theirs["isin"].to_numpy(), np.ones(len(theirs), dtype=bool)
     quantity, value = theirs["quantity"].to_numpy(), theirs["mkt_value"].to_numpy()
     out = []
@@ -157,24 +157,37 @@ def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
 def alias_candidates(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> DataFrame:
     """Same holding, different code on each side: greedy one-to-one in row order.
 
-    The greedy walk runs per chain of close values, not per scheme. Chains with rows of one side
-    only are dropped, and a chain with one row on each side needs no walk, so only contested
-    chains reach Python.
+    The greedy walk runs per chain of close values, not per scheme, and chains with rows of one
+    side only are dropped. In a tight chain (all values mutually close, such as any number of
+    copies) the walk pairs the n-th row of ours with the n-th code of the reference, which needs
+    block-wise positions only. Chains longer than the tolerance reach Python, and so do, as one
+    group per scheme, chains that share a reference code, because a code is used only once.
     """
-    rows = alias_pairs(ours, ref, code)
     chain = [code, "value_chain", "quantity_chain"]
     mine, theirs = F.col("side") == "ours", F.col("side") == "reference"
-    row = F.struct("isin", "quantity", "mkt_value")
+    found = alias_pairs(ours, ref, code)
+    used = found.filter(theirs).select(*chain, "isin").distinct()
+    twice = used.groupBy(code, "isin").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    shared = used.join(twice, [code, "isin"], "left_semi").select(*chain).distinct().withColumn("shared", F.lit(True))
+    marked = found.join(shared, chain, "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+    rows = settle(marked.withColumns({c: F.when(F.col("shared"), -1).otherwise(F.col(c)) for c in chain[1:]}))
     sized = rows.groupBy(*chain).agg(
-        F.count_if(mine).alias("n_ours"), F.count_if(theirs).alias("n_ref"),
-        F.max(F.when(mine, row)).alias("o"), F.max(F.when(theirs, row)).alias("r"),
+        F.count_if(mine).alias("n_ours"), F.count_if(theirs).alias("n_ref"), F.min("quantity").alias("q0"),
+        F.max("quantity").alias("q1"), F.min("mkt_value").alias("v0"), F.max("mkt_value").alias("v1"),
+        F.bool_or("shared").alias("shared"),
     ).filter("n_ours > 0 and n_ref > 0")
-    near = close_to(F.col("o.quantity"), F.col("r.quantity")) & close_to(F.col("o.mkt_value"), F.col("r.mkt_value"))
-    simple = sized.filter("n_ours = 1 and n_ref = 1").filter(near).select(
-        code, F.col("o.isin").alias("isin_in_amc_file"), F.col("r.isin").alias("isin_in_icra"),
-        F.col("o.quantity").alias("quantity"), F.col("o.mkt_value").alias("mkt_value_ours"),
-        F.col("r.mkt_value").alias("mkt_value_icra"))
-    contested = rows.join(sized.filter("n_ours > 1 or n_ref > 1").select(*chain), chain, "left_semi")
+    tight = ~F.col("shared") & close_to(F.col("q0"), F.col("q1")) & close_to(F.col("v0"), F.col("v1"))
+    even = rows.join(sized.filter(tight).select(*chain), chain, "left_semi")
+    block = F.shiftright("row_id", 12)
+    left = ordered_scan(even.filter(mine), chain, ["row_id", "isin"], block, position="place")
+    first = even.filter(theirs).groupBy(*chain, "isin").agg(
+        F.min("row_id").alias("row_id"), F.min_by("mkt_value", "row_id").alias("mkt_value_icra"))
+    right = ordered_scan(first, chain, ["row_id", "isin"], block, position="place").select(
+        *chain, "place", F.col("isin").alias("isin_in_icra"), "mkt_value_icra")
+    simple = left.join(right, [*chain, "place"]).select(
+        code, F.col("isin").alias("isin_in_amc_file"), "isin_in_icra", "quantity", F.col("mkt_value").alias("mkt_value_ours"),
+        "mkt_value_icra")
+    contested = rows.join(sized.filter(~tight).select(*chain), chain, "left_semi")
     schema = T.StructType([contested.schema[code]] + [
         T.StructField("isin_in_amc_file", T.StringType()), T.StructField("isin_in_icra", T.StringType()),
         T.StructField("quantity", T.DoubleType()), T.StructField("mkt_value_ours", T.DoubleType()),

@@ -336,17 +336,20 @@ FROM oo JOIN rr ON oo.amfi_code = rr.amfi_code
   AND abs(oo.mkt_value - rr.mkt_value) / greatest(abs(oo.mkt_value), abs(rr.mkt_value), 1e-9) <= 0.001
 GROUP BY oo.amfi_code, oo.isin, oo.quantity, oo.mkt_value, oo.oid""")
 def alias_tolerance(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows of ours with at least one close code on the other side, counted inside their chain."""
+    """Rows of ours with at least one close code on the other side.
+
+    Copies are folded into one point per chain and side first, so only different points meet.
+    """
     ours, ref = alias_inputs(spark, sf)
     rows = rec.alias_pairs(ours, ref)
-    chain = ["amfi_code", "value_chain", "quantity_chain"]
+    point = ["amfi_code", "value_chain", "quantity_chain", "quantity", "mkt_value"]
     mine = rows.filter("side = 'ours'").drop("side")
-    theirs = rows.filter("side = 'reference'").select(
-        *chain, F.col("quantity").alias("r_quantity"), F.col("mkt_value").alias("r_value"))
+    theirs = rows.filter("side = 'reference'").groupBy(*point).agg(F.count(F.lit(1)).alias("copies")).withColumnsRenamed(
+        {"quantity": "r_quantity", "mkt_value": "r_value"})
     near = rec.close_to(F.col("quantity"), F.col("r_quantity")) & rec.close_to(F.col("mkt_value"), F.col("r_value"))
-    pairs = mine.join(theirs, chain).filter(near)
-    return pairs.groupBy("amfi_code", "isin", "quantity", "mkt_value", "row_id").agg(
-        F.count(F.lit(1)).alias("close_codes")).drop("row_id")
+    close = mine.select(*point).distinct().join(theirs, point[:3]).filter(near).groupBy(*point).agg(
+        F.sum("copies").alias("close_codes"))
+    return mine.join(close, point).select("amfi_code", "isin", "quantity", "mkt_value", "close_codes")
 
 
 def alias_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

@@ -64,6 +64,26 @@ def test_alias_candidates_are_greedy_one_to_one(spark):
     assert got == {("A1", "R1"), ("A2", "R2")}
 
 
+def test_alias_candidates_against_one_plain_walk(spark):
+    """Copies, long chains and negative values: the chain-wise result equals one walk over the scheme."""
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(5)
+    rows = []
+    for i in range(300):
+        q, v = rnd.choice([5.0, 7.0, 0.0]), rnd.choice([100.0, 100.05, 100.12, 100.2, -40.0, -40.02, 900.0])
+        rows.append(("s", f"O{i}", q, v, i, "ours"))
+        if rnd.random() < 0.8:
+            rows.append(("s", f"R{i if rnd.random() < 0.9 else i // 20}", q, v * rnd.choice([1.0, 1.0004, 0.9993]), i, "reference"))
+    pdf = pd.DataFrame(rows, columns=["amfi_code", "isin", "quantity", "mkt_value", "row_id", "side"])
+    want = {tuple(r) for r in R._greedy(pdf)[["isin_in_amc_file", "isin_in_icra"]].itertuples(index=False)}
+    df = spark.createDataFrame(rows, "amfi_code string, isin string, quantity double, mkt_value double, row_id long, side string")
+    got = R.alias_candidates(df.filter("side = 'ours'").drop("side"), df.filter("side = 'reference'").drop("side")).collect()
+    assert {(r.isin_in_amc_file, r.isin_in_icra) for r in got} == want
+
+
 def test_plans_have_no_cross_join_and_prune(spark):
     from folioscope.plans import holdings_queries as Q
 
