@@ -84,6 +84,38 @@ def test_alias_candidates_against_one_plain_walk(spark):
     assert {(r.isin_in_amc_file, r.isin_in_icra) for r in got} == want
 
 
+def test_near_misses_against_all_pairs(spark):
+    from difflib import SequenceMatcher
+
+    names = ["Demo Banking and Financial Services Fund", "Demo Banking and PSU Fund", "Demo Quality Index Fund", "Demo Quality Fund",
+             "Demo Midcap Opportunities Fund", "Demo Smallcap Opportunities Fund"]
+    portfolio = spark.createDataFrame([("", n) for n in names], "amfi_code string, fund_name string")
+    master = spark.createDataFrame([("", n, "Demo Mutual Fund") for n in names], "amfi_code string, scheme_name string, mf_name string")
+    universe = A.build_universe(portfolio, master)
+    texts = [("u1", "Demo Banking & Fin Serv Scheme"), ("u2", "Demo Qlty Indx Fund"), ("u3", "Demo Mid Cap Oportunity Fund"), ("u4", "Entirely other words")]
+    units = spark.createDataFrame([(u, "Demo Mutual Fund") for u, _ in texts], "unit_id string, scope string")
+    rows = spark.createDataFrame([(u, t, "s", 100, False) for u, t in texts], "unit_id string, raw string, source string, ord int, need_word boolean")
+    keys = A.build_candidates(rows).join(units, "unit_id")
+    spell = {"fin serv": "financial services", "qlty": "quality", "indx": "index"}
+    want = {}
+    for r in keys.collect():
+        if len(r.key) < 10 or len(r.key.split()) < 2:
+            continue
+        form = r.key
+        for short, long in spell.items():
+            form = form.replace(short, long)
+        for n in names:
+            score = SequenceMatcher(None, form.replace(" ", ""), n.lower().replace(" ", "")).ratio()
+            if score >= 0.70:
+                want[(r.unit_id, n)] = max(score, want.get((r.unit_id, n), 0.0))
+    top = set()
+    for unit in {u for u, _ in want}:
+        mine = sorted(((-s, n) for (u, n), s in want.items() if u == unit))[:3]
+        top |= {(unit, n, round(-s, 9)) for s, n in mine}
+    got = {(r.unit_id, r.fund_name, round(r.score, 9)) for r in A.near_misses(units, keys, universe).collect()}
+    assert got == top and {u for u, _, _ in got} == {"u1", "u2", "u3"}
+
+
 def test_plans_have_no_cross_join_and_prune(spark):
     from folioscope.plans import holdings_queries as Q
 
