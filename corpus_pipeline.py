@@ -14,7 +14,7 @@ from folioscope.llm.line_dedup import drop_boilerplate
 from folioscope.llm.mixing import WORD_BREAK, mix_sources
 from folioscope.llm.packing import pack
 from folioscope.llm.quality import keep_good
-from folioscope.llm.stages import stage, table
+from folioscope.llm.stages import stage, table, unused
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,8 +24,11 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that are boilerplate of their source; n_chars follows the text."""
-    return drop_boilerplate(docs).withColumn(
-        "n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    inner = docs.select("doc_id", "text", "lang", "source", "n_chars", F.struct(*docs.columns).alias("row"))
+    out = drop_boilerplate(inner)
+    n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.select("text", n_chars.alias("n_chars"), "row").select(
+        *[F.col(c) if c in ("text", "n_chars") else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,8 +36,9 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows that share a doc_id are one document, of which one row stays. Rows without doc_id all stay.
     """
-    found = jaccard_join(docs).filter("component_id = doc_id").select(F.col("doc_id").alias("__id")).distinct()
-    kept = docs.join(found, F.col("doc_id") == F.col("__id"), "left_semi").dropDuplicates(["doc_id"])
+    (key,) = unused(docs, "first_id")
+    found = jaccard_join(docs).filter("component_id = doc_id").select(F.col("doc_id").alias(key)).distinct()
+    kept = docs.join(found, F.col("doc_id") == F.col(key), "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
@@ -44,22 +48,21 @@ def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Rows without doc_id share one take.
     """
     takes = mix_sources(docs).filter("taken > 0").select(
-        F.col("doc_id").alias("__id"), "full", "first", "last", "wrapped").dropDuplicates(["__id"])
-    joined = docs.join(takes, F.col("doc_id").eqNullSafe(F.col("__id")))
+        F.col("doc_id").alias("id"), "size", "full", "first", "last", "wrapped").dropDuplicates(["id"])
+    joined = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row")).join(takes, F.col("doc_id").eqNullSafe(F.col("id")))
     words = F.split(F.regexp_replace("text", "^[ \\t-\\r]+", ""), WORD_BREAK)
 
     def run(start, end):
         return F.when(end > start, F.array_join(F.slice(words, start.cast("int") + 1, (end - start).cast("int")), " "))
 
     rest = F.nullif(F.concat_ws("\n", run(F.col("first"), F.col("last")), run(F.lit(0), F.col("wrapped"))), F.lit(""))
-    whole = (F.col("last") - F.col("first") + F.col("wrapped")) == F.col("__size")
-    joined = joined.withColumn("__size", F.size(F.filter(words, lambda w: w != "")))
+    whole = F.col("last") - F.col("first") + F.col("wrapped") == F.col("size")
     copies = F.filter(F.concat(F.array_repeat(F.col("text"), F.col("full").cast("int")),
                                F.array(F.when(whole, F.col("text")).otherwise(rest))), lambda t: t.isNotNull())
-    rows = joined.withColumn("__copy", F.explode(copies))
-    return rows.withColumns({
-        "text": F.col("__copy"),
-        "n_chars": F.when(F.col("__copy") == F.col("text"), F.col("n_chars")).otherwise(F.length("__copy").cast("long"))}).select(*docs.columns)
+    rows = joined.select("row", F.explode(copies).alias("copy"))
+    n_chars = F.when(F.col("copy") == F.col("row.text"), F.col("row.n_chars")).otherwise(F.length("copy").cast("long"))
+    changed = {"text": F.col("copy"), "n_chars": n_chars}
+    return rows.select(*[changed.get(c, F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

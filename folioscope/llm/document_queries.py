@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from folioscope.llm.jaccard_join import jaccard_join
+from folioscope.llm.language import identify
 from folioscope.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
+from folioscope.llm.lm_scores import ALPHA, MIN_COUNT, backoff_scores
 from folioscope.llm.mixing import BLOCK_WORDS, MAX_REPEATS, SEED, SHARD_WORDS, mix_sources
 from folioscope.llm.packing import pack
 from folioscope.llm.quality import classify
 from folioscope.llm.registry import query
+from folioscope.llm.secret_scan import scan
 from folioscope.llm.stages import table
 
 
@@ -121,3 +125,36 @@ FROM sets LEFT JOIN (SELECT node, min(other) AS component FROM reach GROUP BY no
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return jaccard_join(table(spark, sf_dir, "documents"))
+
+
+@query("op2_lm_scores", f"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+tokens AS (SELECT doc_id, unnest(w) AS w2, unnest([NULL] || w[:len(w) - 1]) AS w1 FROM words WHERE len(w) > 0),
+unigrams AS (SELECT w2 AS word, count(*) AS c FROM tokens GROUP BY w2),
+bigrams AS (SELECT w1, w2, count(*) AS c FROM tokens WHERE w1 IS NOT NULL GROUP BY w1, w2 HAVING count(*) >= {MIN_COUNT}),
+scored AS (
+  SELECT doc_id, CASE WHEN t.w1 IS NULL THEN ln(u2.c / (SELECT count(*) FROM tokens))
+                      WHEN b.c IS NOT NULL THEN ln(b.c / u1.c)
+                      ELSE ln({ALPHA} * u2.c / (SELECT count(*) FROM tokens)) END AS s
+  FROM tokens t JOIN unigrams u2 ON u2.word = t.w2 LEFT JOIN unigrams u1 ON u1.word = t.w1
+  LEFT JOIN bigrams b ON b.w1 = t.w1 AND b.w2 = t.w2)
+SELECT d.doc_id, count(s)::BIGINT AS n_words, round(sum(s), 6) AS log_score, round(sum(s) / nullif(count(s), 0), 6) AS mean_log_score
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN scored s ON d.doc_id = s.doc_id GROUP BY d.doc_id""")
+def op2_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stupid-backoff score of every document under the counts of all documents."""
+    return backoff_scores(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", F.round("log_score", 6).alias("log_score"), F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query("op5_secret_scan")
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidate secrets of every document with the forest's verdict."""
+    return scan(table(spark, sf_dir, "documents"))
