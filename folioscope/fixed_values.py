@@ -162,6 +162,20 @@ MONTH_NUMBERS = {
     "jul": 7, "july": 7, "aug": 8, "august": 8, "sep": 9, "sept": 9, "september": 9,
     "oct": 10, "october": 10, "nov": 11, "november": 11, "dec": 12, "december": 12,
 }
+MONTH_ABBREVIATIONS = {
+    "jan": 1, "feb": 2, "mar": 3, "apr": 4, "may": 5, "jun": 6,
+    "jul": 7, "aug": 8, "sep": 9, "oct": 10, "nov": 11, "dec": 12,
+}
+AUDIT_MONTH_FORMS = {
+    "january": "jan", "february": "feb", "march": "mar", "april": "apr", "june": "jun", "july": "jul",
+    "august": "aug", "sept": "sep", "september": "sep", "october": "oct", "november": "nov", "december": "dec",
+}
+MONTHLY_MONTH_PATTERN = (
+    r"(?:january|february|march|april|may|june|july|august|september|october|november|december"
+    r"|jan|feb|mar|apr|jun|jul|aug|sep|oct|nov|dec|sept)"
+)
+MONTHLY_NOISE_PATTERN = r"(?i)\b(?:weekly|daily|adhoc|quants|select|axistaa|fortnightly)\b"
+MONTHLY_KEYWORD = "monthly portfolio"
 DAY_PATTERN = r"(?:0?[1-9]|[12]\d|3[01])(?:st|nd|rd|th)?"
 TWO_DIGIT_YEAR_PIVOT = 70
 
@@ -169,10 +183,8 @@ TWO_DIGIT_YEAR_PIVOT = 70
 NOISE_QUERY_KEYS = ["sfvrsn", "v", "ver", "version", "cb", "cache", "_", "t", "ts", "timestamp",
                     "rand", "nocache"]
 UNSAFE_NAME_PATTERN = r'[\x00-\x1f<>:"/\\|?*]+'
-MAX_URL_LENGTH = 2000
-MAX_LABEL_LENGTH = 500
 FILE_URL_PATTERN = (
-    r"""(["'])((?:(?!\1)[^<>]){4,300}?\.(?:xlsx|xls|xlsm|csv|zip)(?:\?(?:(?!\1)[^<>])*)?)(?=\1|[<>]|$)"""
+    r"""(["'])((?:(?!\1)[^<>]){4,}?\.(?:xlsx|xls|xlsm|csv|zip)(?:\?(?:(?!\1)[^<>])*)?)(?=\1|[<>]|$)"""
 )
 FILE_URL_PATTERN_FLAGS = "(?i)"
 NON_HTML_SUFFIXES = ["xlsx", "xls", "xlsm", "xlsb", "zip"]
@@ -269,6 +281,17 @@ AUDIT_DATA_HEADER_PATTERN = (
     r"(?i)(name\s+of\s+the\s+instrument|company/?issuer|instrument\s+name|isin"
     r"|%\s*to\s*(net\s*)?(asset|nav)|market\s*/?\s*fair\s*value|net\s+assets)"
 )
+AUDIT_INDEX_SHEET_PATTERN = r"(?i)^\s*(index|contents?)\s*$"
+AUDIT_FILE_DROP_PATTERNS = [r"\b[0-9a-f]{8,}\b", r"\b\d{1,2}[./]\d{1,2}[./]\d{2,4}\b", r"\b\d{6,}\b"]
+AUDIT_FILE_MONTH_PATTERN = (
+    r"(?i)\b(january|february|march|april|may|june|july|august|september|october|november|december"
+    r"|jan|feb|mar|apr|jun|jul|aug|sept|sep|oct|nov|dec)\b"
+)
+AUDIT_FILE_YEAR_PATTERN = r"\b(19|20)\d{2}\b"
+AUDIT_FILE_DAY_PATTERN = r"(?i)\b\d{1,2}(st|nd|rd|th)?\b\s*$"
+AUDIT_ROMAN_PATTERN = r"^m{0,3}(cm|cd|d?c{0,3})(xc|xl|l?x{0,3})(ix|iv|v?i{0,3})$"
+AUDIT_ROMAN_TRIGGERS = ["series", "plan", "fmp", "no"]
+AUDIT_ROMAN_DIGITS = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
 AUDIT_ISIN_PATTERN = r"^IN[EFD][0-9A-Z]{9}$"
 AUDIT_LABELLED_CODE_PATTERN = r"(?i)\bamfi\s*(?:scheme\s*)?code\s*[:\-]?\s*(\d{5,6})\b"
 AUDIT_AS_OF_PATTERN = (
@@ -278,6 +301,7 @@ AUDIT_AS_OF_PATTERN = (
     r"\b.*?\b((?:19|20)\d{2})\b"
 )
 AUDIT_TOP_ROWS = 15
+AUDIT_TITLE_CELLS = 4
 AUDIT_GENERIC_MANIFEST_SCHEMES = ["consolidated", "combined", "all funds portfolio"]
 TIER_RANKS = {"exact": 6, "reduced": 5, "tokenset": 4, "alias": 3, "amc_prefix": 2, "plan": 1,
               "suffix": 0}

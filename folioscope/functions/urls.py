@@ -151,7 +151,7 @@ def summary_kind(url: Column, label: Column) -> Column:
     name = F.lower(F.regexp_replace(base_name(url), r"(?i)\.[a-z0-9]+$", ""))
     name = F.regexp_replace(name, r"^[0-9a-f]{6,}-", "")
     text = F.when(name != "", name).otherwise(F.lower(label))
-    slug = F.substring(F.regexp_replace(F.regexp_replace(text, "[^a-z0-9]+", "_"), "^_+|_+$", ""), 1, 40)
+    slug = F.regexp_replace(F.regexp_replace(text, "[^a-z0-9]+", "_"), "^_+|_+$", "")
     return (
         F.when(text.contains("equity") | text.contains("hybrid"), "equity_hybrid").when(text.contains("arbitrage"), "arbitrage")
         .when(text.contains("debt"), "debt").when(text.contains("index") | text.contains("etf"), "index_etf")

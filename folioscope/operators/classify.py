@@ -9,12 +9,12 @@ from folioscope import fixed_values as fv
 from folioscope.functions.isin import type_key
 from folioscope.functions.names import match_key
 from folioscope.functions.text import contains_any
-from folioscope.scale import first_rows
+from folioscope.scale import first_rows, last_rows
 
 
 def type_seed(classification: DataFrame) -> DataFrame:
-    """One (instrument, nature) per code."""
-    return classification.select("isin", F.col("instrument_name").alias("instrument"),
+    """One (instrument, nature) per code: that of its last line."""
+    return last_rows(classification, ["isin"]).select("isin", F.col("instrument_name").alias("instrument"),
                                  F.col("nature_name").alias("nature"))
 
 
@@ -102,9 +102,3 @@ def resolve_by_name(df: DataFrame, variants: DataFrame, name: str = "security_na
     """Adds name_isin: the code a printed name stands for."""
     table = name_to_isin(variants).select(F.col("match_key").alias("__mk"), F.col("isin").alias("name_isin"))
     return df.withColumn("__mk", match_key(F.col(name))).join(table, "__mk", "left").drop("__mk")
-
-
-def apply_aliases(df: DataFrame, aliases: DataFrame, code: str = "isin") -> DataFrame:
-    """Adds alias_isin: the code the reference uses for the same security."""
-    table = aliases.select(F.col("isin_in_amc_file").alias(code), F.col("isin_in_icra").alias("__alias"))
-    return df.join(table, code, "left").withColumn("alias_isin", F.coalesce("__alias", code)).drop("__alias")

@@ -12,8 +12,8 @@ UNIT = ["amc", "period"]
 
 
 def looks_like_html(head: Column) -> Column:
-    """First bytes of a file are an HTML page."""
-    text = F.lower(F.regexp_replace(F.decode(F.substring(head, 1, 512), "ISO-8859-1"), r"^\s+", ""))
+    """The first bytes of a file, after blank space of any length, are an HTML page."""
+    text = F.lower(F.substring(F.ltrim(F.decode(head, "ISO-8859-1"), F.lit(" \t\n\v\f\r")), 1, 16))
     return text.startswith("<!doctype html") | text.startswith("<html")
 
 
@@ -27,7 +27,7 @@ def sniff_content(df: DataFrame) -> DataFrame:
     magic = F.hex(F.substring("head", 1, 4))
     kind = F.lower("file_type")
     zipped, ole = magic.startswith("504B"), magic == "D0CF11E0"
-    xml = F.decode(F.substring("head", 1, 512), "ISO-8859-1").rlike(r"^(?:\u00ef\u00bb\u00bf)*<\?xml")
+    xml = F.decode("head", "ISO-8859-1").rlike(r"^(?:\u00ef\u00bb\u00bf)*<\?xml")
     biff = magic.isin("09000400", "09020600", "09040600")
     ooxml = kind.isin("xlsx", "xlsm", "xlsb", "zip")
     bad = (ooxml & ~(zipped | ((kind == "xlsx") & ole))) | ((kind == "xls") & ~(zipped | ole | xml | biff))

@@ -13,7 +13,7 @@ from folioscope.functions.names import scheme_key
 from folioscope.functions.text import cell_number
 from folioscope.operators import classify
 from folioscope.scale import (
-    first_reaching, levels_for, null_safe_join, ordered_scan, settle, with_group_totals,
+    first_reaching, last_rows, levels_for, null_safe_join, ordered_scan, settle, with_group_totals,
 )
 
 SCHEME = ["amc", "period", "scheme_name_raw"]
@@ -129,8 +129,8 @@ def corpus_percent(value: Column, pct: Column, scale: Column, nav: Column) -> Co
 # --- C4, C5: scheme mapping and classification --------------------------------------------
 
 def map_schemes(df: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Adds amfi_code and fund_name; unmapped rows keep nulls."""
-    table = mapping.select("amc", F.col("match_key").alias("__key"), "amfi_code", "fund_name")
+    """Adds amfi_code and fund_name; unmapped rows keep nulls. The last line of a repeated key counts."""
+    table = last_rows(mapping, ["amc", "match_key"]).select("amc", F.col("match_key").alias("__key"), "amfi_code", "fund_name")
     keyed = df.withColumn("__key", scheme_key(F.col("scheme_name_raw")))
     return keyed.join(table, ["amc", "__key"], "left").drop("__key")
 
@@ -147,7 +147,7 @@ def with_identity(df: DataFrame, lookups: Lookups) -> DataFrame:
 def classify_holdings(df: DataFrame, lookups: Lookups) -> DataFrame:
     """The classification cascade; expects the columns of with_identity."""
     aliases = classify.classify_isin(
-        lookups.aliases.withColumnRenamed("isin_in_amc_file", "isin"), lookups.classification, "isin", "own"
+        last_rows(lookups.aliases, ["isin_in_amc_file"]).withColumnRenamed("isin_in_amc_file", "isin"), lookups.classification, "isin", "own"
     ).select("isin", F.col("isin_in_icra").alias("alias_isin"), "own_instrument", "own_nature")
     work = df.join(aliases, "isin", "left")
 
@@ -158,7 +158,7 @@ def classify_holdings(df: DataFrame, lookups: Lookups) -> DataFrame:
     work = work.withColumns({"printed": printed, "by_name": by_name}).withColumn("out_isin", out_isin)
 
     work = classify.classify_isin(work, lookups.classification, "out_isin", "type")
-    names = lookups.names.select(F.col("isin").alias("out_isin"), F.col("canonical_name").alias("harvested_name"))
+    names = last_rows(lookups.names, ["isin"]).select(F.col("isin").alias("out_isin"), F.col("canonical_name").alias("harvested_name"))
     work = work.join(names, "out_isin", "left")
 
     coded = F.col("printed") | F.col("by_name")

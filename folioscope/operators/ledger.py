@@ -32,7 +32,7 @@ def classify_attempts(attempts: DataFrame, today: Column, lag_months: int) -> Da
     description = (
         F.when(F.coalesce("timed_out", F.lit(False)), F.lit("AMC site/download timed out"))
         .when(code == 0, F.lit("Downloaded and validated successfully"))
-        .when(code == 8, F.concat(F.lit("Downloaded successfully (truncated by AMC_MAX_FILES config): "), r))
+        .when(code == 8, F.concat(F.lit("Downloaded successfully (cut off at the configured number of files): "), r))
         .when(s == "NOT_YET_PUBLISHED", F.concat(
             F.lit("Recent period, not yet published by the AMC (checked "), today.cast("string"), F.lit("): "), r))
         .when(s == "NO_DATA", F.concat(F.lit("AMC reported no portfolio disclosure for this period: "), r))
@@ -51,13 +51,16 @@ def classify_attempts(attempts: DataFrame, today: Column, lag_months: int) -> Da
     )
     failed = ~s.isin("SUCCESS", "NOT_YET_PUBLISHED", "NO_DATA")
     work = work.withColumns({
-        "description": description, "error": F.when(failed, F.substring(r, 1, 500)).otherwise(""),
+        "description": description, "error": F.when(failed, r).otherwise(""),
         "year": F.substring("period", 1, 4), "month": F.substring("period", 6, 2)})
     return work.drop("reason")
 
 
 def final_attempt(classified: DataFrame, retries: int = 3) -> DataFrame:
-    """The attempt that ended each cell: the first one whose status is not worth a retry, else the last allowed."""
+    """The attempt that ended each cell: the first one whose status is not worth a retry, else the last allowed.
+
+    Attempts after the first and its ``retries`` are not looked at; ``late_attempts`` lists them.
+    """
     allowed = classified.filter(F.col("attempt") <= retries + 1)
     settled = F.when(F.col("status").isin(fv.RETRYABLE_STATUSES), 1).otherwise(0)
     order = [settled, F.when(settled == 0, F.col("attempt")).otherwise(-F.col("attempt"))]
@@ -67,6 +70,11 @@ def final_attempt(classified: DataFrame, retries: int = 3) -> DataFrame:
         F.col("attempt") > 1, F.concat("description", label)).otherwise(F.col("description")))
 
 
+def late_attempts(classified: DataFrame, retries: int = 3) -> DataFrame:
+    """Attempts that ``final_attempt`` does not look at, with the reason."""
+    return classified.filter(F.col("attempt") > retries + 1).withColumn("reason", F.lit(f"after {retries} retries"))
+
+
 def rollup_year_status(ledger: DataFrame) -> DataFrame:
     """Refine NO_DATA by year.
 

@@ -58,6 +58,16 @@ def first_rows(df: DataFrame, keys: Names, order: Iterable[Column | str], n: int
     return df.withColumn("__rank", F.row_number().over(w)).filter(F.col("__rank") <= n).drop("__rank")
 
 
+def last_rows(df: DataFrame, keys: Names) -> DataFrame:
+    """One row per key: the last line of a lookup (by ``line``), so that no join with it can multiply rows.
+
+    A table without line numbers keeps the greatest row, which no order of reading can change.
+    """
+    keys = _names(keys)
+    rest = [F.desc_nulls_last(c) for c in df.columns if c not in keys and c != "line"]
+    return first_rows(df, keys, [F.desc("line"), *rest] if "line" in df.columns else rest or keys)
+
+
 def with_group_totals(df: DataFrame, keys: Names, totals: Mapping[str, Column],
                       rows: DataFrame | None = None) -> DataFrame:
     """Attach aggregates of each group to its rows: pre-aggregate, then join back."""

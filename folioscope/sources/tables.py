@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -42,9 +42,16 @@ def read_listing(spark: SparkSession, path: str, amc: str) -> DataFrame:
 
 
 def read_lookup(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A lookup CSV with its fixed schema; a missing file is an empty table."""
+    """A lookup CSV with its fixed schema and ``line``, its place in the file; a missing file is an empty table."""
     schema = LOOKUPS[name]
-    return _optional(lambda: spark.read.schema(schema).option("header", "true").csv(f"{folder}/{name}.csv"), spark, schema)
+    rows = _optional(lambda: spark.read.schema(schema).option("header", "true").csv(f"{folder}/{name}.csv"), spark, schema)
+    return rows.withColumn("line", F.monotonically_increasing_id())
+
+
+def repeated_lines(lookup: DataFrame, keys: list[str]) -> DataFrame:
+    """Lines of a lookup that a later line with the same key replaces."""
+    later = Window.partitionBy(*keys).orderBy("line").rowsBetween(1, Window.unboundedFollowing)
+    return lookup.withColumn("replaced_by", F.max("line").over(later)).filter("replaced_by IS NOT NULL")
 
 
 def read_reference(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

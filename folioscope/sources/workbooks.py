@@ -49,11 +49,11 @@ def select_monthly_file(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(chosen, rejects): the one monthly workbook per house and month, by the period in its name."""
     books = files.filter(F.col("source_file").rlike("(?i)MONTHLY_PORTFOLIO") & suffix_of(F.col("source_file")).isin(fv.WORKBOOK_SUFFIXES))
     hint = r"(?i)(jan|feb|mar|apr|may|jun|jul|aug|sept|sep|oct|nov|dec)[a-z]*[\s_\-]?(\d{4}|\d{2})(?!\d)"
-    place = F.call_function("instr", F.lit("janfebmaraprmayjunjulaugsepoctnovdec"),
-                            F.lower(F.substring(F.regexp_extract("source_file", hint, 1), 1, 3)))
+    months = F.create_map(*[F.lit(x) for kv in fv.MONTH_ABBREVIATIONS.items() for x in kv])
+    month = F.try_element_at(months, F.lower(F.substring(F.regexp_extract("source_file", hint, 1), 1, 3)))
     digits = F.regexp_extract("source_file", hint, 2)
     year = F.when(F.length(digits) == 2, F.concat(F.lit("20"), digits)).otherwise(digits)
-    named = F.when(digits != "", F.concat_ws("-", year, F.lpad(((place + 2) / 3).cast("int").cast("string"), 2, "0")))
+    named = F.when(digits != "", F.concat_ws("-", year, F.lpad(month.cast("string"), 2, "0")))
     work = books.withColumn("__fits", F.coalesce(named == F.col("period"), F.lit(False)))
     slim = work.select("amc", "period", "__fits")
     work = with_group_totals(work, ["amc", "period"], {
@@ -173,8 +173,13 @@ def explode_workbooks(files: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def file_facts(files: DataFrame) -> DataFrame:
-    """(amc, period, path, length, sha256, head) of binary files, for the completeness checks."""
+    """(amc, period, path, length, sha256, head) of binary files, for the completeness checks.
+
+    The head begins behind leading blank space where a markup page follows it.
+    """
+    text = F.ltrim(F.decode("content", "ISO-8859-1"), F.lit(" \t\n\v\f\r"))
+    head = F.when(text.startswith("<"), F.encode(F.substring(text, 1, 512), "ISO-8859-1")).otherwise(F.substring("content", 1, 512))
     return files.select("amc", "period", F.col("source_file").alias("path"), "length", F.sha2("content", 256).alias("sha256"),
-                        F.substring("content", 1, 512).alias("head"))
+                        head.alias("head"))
 
 
