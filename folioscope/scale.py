@@ -17,7 +17,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 Names = Iterable[str]
@@ -27,6 +27,16 @@ def _names(cols: Names | str) -> list[str]:
     return [cols] if isinstance(cols, str) else list(cols)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only in a local session that sets none."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None and spark.conf.get("spark.master", "").startswith("local["):
+        folder = tempfile.mkdtemp(prefix="folioscope-")
+    if folder is None:
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    return folder.rstrip("/")
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write once, read many: a reliable checkpoint in the cluster's shared folder.
 

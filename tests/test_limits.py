@@ -58,9 +58,9 @@ def test_labels_addresses_and_errors_are_whole(spark):
     html = spark.createDataFrame([(1, "http://h/", f'<a href="{address}">x</a>')], "page_id long, url string, html string")
     assert any(address in str(r) for r in listing.extract_file_urls(html).collect())
     rows = spark.createDataFrame([("a", "2026-05", "http://h/", "/" + "d" * 3000 + "/x.xlsx")], "amc string, period string, source_page_url string, href string")
-    good, bad = listing.to_document(rows)
+    good, bad = listing.to_document(rows, max_url_length=None)
     assert (good.count(), bad.count()) == (1, 0)
-    good, bad = listing.to_document(rows, max_url_length=2000)
+    good, bad = listing.to_document(rows)
     assert (good.count(), bad.first()["reason"]) == (0, "not a document address")
     attempts = spark.createDataFrame([("a", "2020-01", n, 1, "KeyError: " + "x" * 900, False) for n in range(1, 7)],
                                      "amc string, period string, attempt int, exit_code int, message string, timed_out boolean")
