@@ -11,11 +11,12 @@ threshold asks for an overlap that grows with the set:
   Light sets of at least 0.8 times the boundary stand there as well, to meet heavy ones;
 * the boundary is where subsets begin to cost more than the scanned lists, from measured totals per size.
 
-Lists and subset groups are never multiplied out. Their members, in order of size, are chained, and the
-chains' components are the only places where links can be. A component is then scanned in tiles of
-bounded size: each tile pair counts exact overlaps over its inverted lists and returns a spanning forest
-of its links, so a large group of near copies costs reading, never rows. Sets with the same shingles
-are one set from the start.
+Keys are packed and dealt by hash to shards. A shard scans its lists and subset groups, holds each pair in
+them against sizes and sketches (counts of shingles by hash, whose common part bounds the overlap from above)
+and returns a spanning forest of the pairs that can still link. The forest's components are the only places
+where links can be. A component is then scanned in tiles of bounded size: each tile pair counts exact overlaps
+over its inverted lists and returns a spanning forest of its links. So a large group of near copies costs
+reading, never rows, and no pair list exists. Sets with the same shingles are one set from the start.
 
 Defined results: a null, empty or blank text has no shingles and links with nothing. A text of fewer than
 five words is one shingle. Rows that share a doc_id are one node of the graph; a row without doc_id is its own
@@ -40,6 +41,7 @@ SLICE_BYTES = 4 << 20
 FREQUENT_SHINGLES = 1 << 16  # shingles with a known rank; the order of all others is that of their hashes
 FREQUENT_LOCALLY = 4  # documents of one batch
 TILE_SHINGLES = 1 << 19
+SHARD_KEYS = 1 << 22
 SCAN_COST = 1 / 500  # of counting one shingle of one partner, against moving one key
 SIZES = [2 ** (k / 2) for k in range(0, 62)]  # size classes of the cost totals
 
@@ -111,47 +113,177 @@ def _boundary(costs: list) -> float:
     return boundary
 
 
-def _keys(frequent: np.ndarray, rank: np.ndarray, boundary: float):
-    """One row per key of a distinct set: kind-salted key, set identity, size."""
+def sketch_width(size: int) -> int:
+    """Counters of a set's sketch: a power of two, for about eight shingles each."""
+    return max(16, 1 << max(0, int(size - 1).bit_length() - 3))
+
+
+POSTINGS = "shard int, sets binary, sizes binary, sketches binary, keys binary, owners binary"
+
+
+def _postings(frequent: np.ndarray, rank: np.ndarray, boundary: float, shards: int):
+    """Keys of the distinct sets of a slice, packed by the shard of the key, with the sketch of every set."""
+
+    def ordered(s):
+        if not len(frequent):
+            return s
+        at = np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)
+        known = np.where(frequent[at] == s, rank[at], 0)
+        return s[np.argsort(known, kind="stable")] if known.any() else s  # s is in order of its hashes
 
     def run(batches):
-        seen = set()
+        posted = set()
         for batch in batches:
             texts = Texts(batch.column(0))
             for first, last in texts.slices(SLICE_BYTES):
-                keys, sets, sizes = [], [], []
+                sets, sizes, sketches, keys = [], [], [], []
                 for s in shingles(*texts.words(first, last)):
                     size = len(s)
                     if size < 4:  # sets this small link with equal sets only
                         continue
                     identity = _identity(s)
-                    if identity in seen:
+                    if identity in posted:
                         continue
-                    seen.add(identity)
-                    at = np.minimum(np.searchsorted(frequent, s), max(len(frequent) - 1, 0))
-                    known = np.where(frequent[at] == s, rank[at], 0) if len(frequent) else np.zeros(size, np.int64)
-                    # shingles of rank 0 come first, and s is sorted by hash
-                    ordered = s[np.argsort(known, kind="stable")] if known.any() else s
-                    own = []
+                    posted.add(identity)
+                    head, own = ordered(s)[: _prefix(size, 2)], []
                     if size < boundary:
-                        head = ordered[: _prefix(size, 2)]
                         i, j = np.array(list(combinations(range(len(head)), 2)), np.int64).reshape(-1, 2).T
-                        low, high = np.minimum(head[i], head[j]), np.maximum(head[i], head[j])
-                        own.append(mixed(mixed(low) + high * np.uint64(3)))
+                        own.append(mixed(mixed(np.minimum(head[i], head[j])) + np.maximum(head[i], head[j]) * np.uint64(3)))
                     if size >= 0.8 * boundary:
-                        own.append(ordered[: _prefix(size, 1)])
-                    own = np.concatenate(own)
-                    keys.append(own)
-                    sets.append(np.full(len(own), identity[0], np.int64))
-                    sizes.append(np.full(len(own), size, np.int32))
-                if keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sets)),
-                         pa.array(np.concatenate(sizes))], ["key", "set", "size"])
+                        own.append(head[: _prefix(size, 1)])
+                    width = sketch_width(size)
+                    counters = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width)
+                    sets.append(identity[0])
+                    sizes.append(size)
+                    sketches.append(np.minimum(counters, 255).astype(np.uint8))
+                    keys.append(np.concatenate(own))
+                for low in range(0, len(sets), 1 << 16):
+                    part = slice(low, low + (1 << 16))
+                    yield from _packed(sets[part], sizes[part], sketches[part], keys[part], shards)
 
     return run
 
 
+def _packed(sets, sizes, sketches, keys, shards):
+    owner = np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+    key = np.concatenate(keys)
+    shard = (mixed(key) % np.uint64(shards)).astype(np.int64)
+    order = np.argsort(shard, kind="stable")
+    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    for n in range(shards):
+        mine = order[ends[n] : ends[n + 1]]
+        if not len(mine):
+            continue
+        present, place = np.unique(owner[mine], return_inverse=True)
+        yield pa.RecordBatch.from_arrays([
+            pa.array([n], pa.int32()), pa.array([np.array([sets[x] for x in present], np.int64).tobytes()], pa.binary()),
+            pa.array([np.array([sizes[x] for x in present], np.uint32).tobytes()], pa.binary()),
+            pa.array([np.concatenate([sketches[x] for x in present]).tobytes()], pa.binary()),
+            pa.array([key[mine].tobytes()], pa.binary()), pa.array([place.astype(np.uint16).tobytes()], pa.binary())],
+            ["shard", "sets", "sizes", "sketches", "keys", "owners"])
+
+
+class _Sketches:
+    """Counters of many sets, by width."""
+
+    def __init__(self, sizes: np.ndarray, flat: list[np.ndarray]):
+        self.sizes = sizes.astype(np.int64)
+        self.widths = np.array([sketch_width(n) for n in sizes.tolist()], np.int64)
+        self.rows, self.tables = np.zeros(len(sizes), np.int64), {}
+        for width in np.unique(self.widths).tolist():
+            mine = np.flatnonzero(self.widths == width)
+            self.rows[mine] = np.arange(len(mine))
+            table = np.stack([flat[x] for x in mine]).astype(np.uint16)
+            table[table == 255] = 1 << 14  # a full counter bounds nothing
+            self.tables[width] = table
+
+    def can_link(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Whether sizes and shared counters leave room for a similarity of 0.8."""
+        a, b = self.sizes[x], self.sizes[y]
+        out = 5 * np.minimum(a, b) >= 4 * np.maximum(a, b)
+        wide, narrow = np.where(self.widths[x] >= self.widths[y], x, y), np.where(self.widths[x] >= self.widths[y], y, x)
+        shape = self.widths[wide] * (1 << 32) + self.widths[narrow]
+        for code in np.unique(shape[out]).tolist():
+            w, v = code >> 32, code & (1 << 32) - 1
+            at = np.flatnonzero(out & (shape == code))
+            step = max(1, (1 << 22) // w)
+            for first in range(0, len(at), step):
+                part = at[first : first + step]
+                left = self.tables[w][self.rows[wide[part]]].reshape(len(part), w // v, v).sum(axis=1, dtype=np.int32)
+                shared = np.minimum(left, self.tables[v][self.rows[narrow[part]]]).sum(axis=1)
+                out[part] = 9 * shared >= 4 * (a[part] + b[part])
+        return out
+
+
+SMALL_LIST = 24  # members up to which all lists of a length are tested at once
+
+
+def _list_links(frame: pd.DataFrame) -> pd.DataFrame:
+    """Of one shard: a spanning forest of the pairs that share a key and can link."""
+    sets, sizes, flat, keys, owners, at = [], [], [], [], [], 0
+    for row in frame.itertuples(index=False):
+        own, size = np.frombuffer(row.sets, np.int64), np.frombuffer(row.sizes, np.uint32)
+        counters = np.frombuffer(row.sketches, np.uint8)
+        cuts = np.cumsum([sketch_width(n) for n in size.tolist()])
+        flat += np.split(counters, cuts[:-1])
+        sets.append(own)
+        sizes.append(size)
+        keys.append(np.frombuffer(row.keys, np.uint64))
+        owners.append(np.frombuffer(row.owners, np.uint16).astype(np.int64) + at)
+        at += len(own)
+    sets, first, again = np.unique(np.concatenate(sets), return_index=True, return_inverse=True)
+    sketches = _Sketches(np.concatenate(sizes)[first], [flat[x] for x in first])
+    keys, owners = np.concatenate(keys), again[np.concatenate(owners)]
+    order = np.argsort(keys, kind="stable")
+    keys, owners = keys[order], owners[order]
+    starts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    lengths = np.diff(np.concatenate([starts, [len(keys)]]))
+    parent = list(range(len(sets)))
+    forest = []
+
+    def root(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    def join(x, y):
+        x, y = root(x), root(y)
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            forest.append((x, y))
+
+    pairs = []
+    for n in range(2, SMALL_LIST + 1):
+        lists = owners[starts[lengths == n][:, None] + np.arange(n)]
+        i, j = np.triu_indices(n, 1)
+        for low in range(0, len(lists), max(1, (1 << 20) // len(i))):
+            x, y = lists[low : low + max(1, (1 << 20) // len(i))][:, [i, j]].transpose(1, 0, 2).reshape(2, -1)
+            pairs.append(np.unique(np.minimum(x, y) * len(sets) + np.maximum(x, y)))
+    pairs = np.unique(np.concatenate(pairs)) if pairs else np.zeros(0, np.int64)
+    for low in range(0, len(pairs), 1 << 18):
+        x, y = np.divmod(pairs[low : low + (1 << 18)], len(sets))
+        sure = (x != y) & sketches.can_link(x, y)
+        for a, b in zip(x[sure].tolist(), y[sure].tolist()):
+            join(a, b)
+    for k in np.flatnonzero(lengths > SMALL_LIST).tolist():
+        members = np.unique(owners[starts[k] : starts[k] + lengths[k]])
+        label = np.array([root(x) for x in members.tolist()])
+        for i in range(len(members) - 1):  # only members of other components are tested, so a group of copies is met once
+            rest = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
+            if not len(rest):
+                if (label == label[0]).all():
+                    break
+                continue
+            hit = rest[sketches.can_link(np.full(len(rest), members[i]), members[rest])]
+            for y in hit.tolist():
+                join(int(members[i]), int(members[y]))
+            if len(hit):
+                label[np.isin(label, label[hit])] = label[i]
+    edges = np.array(forest, np.int64).reshape(-1, 2)
+    return pd.DataFrame({"u": sets[edges[:, 0]], "v": sets[edges[:, 1]]}, dtype="int64")
+
+
 def _overlap_forest(query: list[np.ndarray], listed: list[np.ndarray], same: bool) -> list[tuple[int, int]]:
     """Spanning forest of the links between two lists of sets, by counting along inverted lists.
 
@@ -223,14 +355,10 @@ def _candidates(docs: DataFrame, survey: DataFrame, frequent_shingles: int, boun
     hashes = ranked["a"].to_numpy(np.int64).view(np.uint64)
     by_hash = np.argsort(hashes)
     rank = np.arange(len(hashes), 0, -1, dtype=np.int64)[by_hash]  # the most frequent comes last
-    keys = _keys(hashes[by_hash], rank, boundary)
-    rows = docs.select("text").mapInArrow(keys, "key long, set long, size int")
-    # chain the members of a key in order of size; a gap wider than 0.8 parts sets that cannot link
-    rows = rows.selectExpr("key", "set", "size").withColumns({
-        "other": F.expr("lag(set) OVER (PARTITION BY key ORDER BY size, set)"),
-        "smaller": F.expr("lag(size) OVER (PARTITION BY key ORDER BY size, set)")})
-    edges = rows.filter((5 * F.col("smaller") >= 4 * F.col("size")) & (F.col("other") != F.col("set"))).select(
-        F.col("set").alias("u"), F.col("other").alias("v"))
+    posted = survey.filter(F.col("kind") == _SET).agg(F.sum(F.col("n") / 5 + 1)).first()[0] or 0
+    shards = max(1, int(-(-posted // SHARD_KEYS)))
+    rows = docs.select("text").mapInArrow(_postings(hashes[by_hash], rank, boundary, shards), POSTINGS)
+    edges = rows.groupBy("shard").applyInPandas(_list_links, "u long, v long")
     return components(edges).select(F.col("node").alias("set"), F.col("component").alias("group"))
 
 
