@@ -252,9 +252,3 @@ def unresolved(tagged: DataFrame) -> DataFrame:
         F.when((F.col("outcome") == "converted") & F.col("blank_security_name"), F.lit("blank_security_name")),
     ))
     return tagged.withColumn("reason", F.explode(reasons)).select("period", *UNRESOLVED_FIELDS)
-
-
-def weight_report(df: DataFrame, keys: list[str] = SCHEME) -> DataFrame:
-    """Per scheme: row count, weight total on the 0-100 scale and implied net assets."""
-    counted = with_group_totals(scheme_figures(df, keys), keys, {"holdings": F.count(F.lit(1))}, rows=df)
-    return counted.withColumn("weight_total", F.col("pct_sum") * F.col("pct_scale"))

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions.text import cell_number, cell_text, collapse
 from folioscope.operators.sheets import FILE, SHEET, SHEET_KEYS, first_match, first_where, texts, usable_cell
-from folioscope.scale import first_rows
 
 
 def derivative_titles(cells: DataFrame) -> DataFrame:
@@ -138,8 +137,3 @@ def drop_seen_positions(derivatives: DataFrame, holdings: DataFrame) -> DataFram
         same = part if same is None else same & part
     joined = mine.join(right, same & (right["first_at"] < mine["sheet_idx"] * 2 + 1), "left_anti")
     return joined.select(*derivatives.columns)
-
-
-def last_scheme(holdings: DataFrame) -> DataFrame:
-    """Last scheme of a workbook in row order."""
-    return first_rows(holdings, FILE, [F.desc("sheet_idx"), F.desc("part"), F.desc("row_idx")])

@@ -119,12 +119,19 @@ def test_streams(spark, tmp_path):
     run()
     land(landing, "two.xlsx", workbook(BOOK), "hdfc")
     run()
-    assert {(r.amc, r["count"]) for r in spark.read.parquet(cells).groupBy("amc").count().collect()} == {("axis", 3), ("hdfc", 3)}
-    assert spark.read.parquet(rejects).count() == 1
+    def state():
+        got = arrivals.read_cells(spark, cells).groupBy("amc", "source_file").count().collect()
+        return {(r.amc, r.source_file, r["count"]) for r in got}, {r.source_file for r in arrivals.read_rejects(spark, rejects).collect()}
+
+    assert state() == ({("axis", "one.xlsx", 3), ("hdfc", "two.xlsx", 3)}, {"bad.xlsx"})
+    land(os.path.join(landing, "again"), "one.xlsx", b"PK\x03\x04damaged")  # sent again: now damaged, and the other one mended
+    land(os.path.join(landing, "again"), "bad.xlsx", workbook({"Only": [(1, [("A1", "s", 0)])]}))
+    run()
+    assert state() == ({("axis", "bad.xlsx", 1), ("hdfc", "two.xlsx", 3)}, {"one.xlsx"})
 
     attempts, ledger = tmp_path / "attempts", str(tmp_path / "ledger")
     attempts.mkdir()
-    for number, code in ((1, 9), (2, 0)):
+    for number, code in ((2, 0), (1, 9)):  # the later attempt arrives first
         (attempts / f"{number}.json").write_text(json.dumps(
             {"amc": "axis", "period": "2026-05", "attempt": number, "exit_code": code, "message": "m", "timed_out": False}) + "\n")
         arrivals.stream_ledger(spark, str(attempts), ledger, str(tmp_path / "ckpt2"), "2026-08-01").awaitTermination(120)
