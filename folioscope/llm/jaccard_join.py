@@ -39,9 +39,9 @@ from folioscope.llm.words import Texts, counted, mixed, shingles
 
 SLICE_BYTES = 4 << 20
 FREQUENT_SHINGLES = 1 << 16  # shingles with a known rank; the order of all others is that of their hashes
-FREQUENT_LOCALLY = 4  # documents of one batch
+FREQUENT_LOCALLY = 3  # documents of one slice
 TILE_SHINGLES = 1 << 19
-SHARD_KEYS = 1 << 22
+SHARD_KEYS = 1 << 21
 SCAN_COST = 1 / 500  # of counting one shingle of one partner, against moving one key
 SIZES = [2 ** (k / 2) for k in range(0, 62)]  # size classes of the cost totals
 
@@ -61,36 +61,28 @@ def _identity(s: np.ndarray) -> tuple[int, int]:
 
 
 def _survey(batches):
-    """Per document its set's size and identity; per batch its frequent shingles and the costs by size."""
+    """Per document its set's size and identity; per slice its frequent shingles and the costs by size."""
     for batch in batches:
         texts, ids = Texts(batch.column(1)), batch.column(0)
-        sizes, one, two, spread = [], [], [], []
         for first, last in texts.slices(SLICE_BYTES):
-            for s in shingles(*texts.words(first, last)):
-                a, b = _identity(s) if len(s) else (0, 0)
-                sizes.append(len(s))
-                one.append(a)
-                two.append(b)
-                spread.append(s)
-        if not sizes:
-            continue
-        yield _survey_rows(_SET, ids, one, two, sizes)
-        distinct = {key: s for key, s in zip(zip(one, two), spread) if len(s)}
-        spread = list(distinct.values())
-        if not spread:
-            continue
-        shingle, df = counted(np.sort(np.concatenate(spread)))
-        often = df >= FREQUENT_LOCALLY
-        yield _survey_rows(_SHINGLE, shingle[often].view(np.int64), None, None, df[often])
-        cost = np.zeros((len(SIZES) + 1, 2), np.int64)
-        for s in spread:
-            size = len(s)
-            lists = np.sort(df[np.searchsorted(shingle, s)])[: _prefix(size, 1)]
-            k = _prefix(size, 2)
-            scanned = len(lists) + (lists - 1).sum() * size * SCAN_COST
-            cost[np.searchsorted(SIZES, size, "right")] += (k * (k - 1) // 2, int(scanned))
-        at = np.flatnonzero(cost.sum(axis=1))
-        yield _survey_rows(_COST, at, cost[at, 0], cost[at, 1], np.zeros(len(at), np.int64))
+            sets = shingles(*texts.words(first, last))
+            names = [_identity(s) if len(s) else (0, 0) for s in sets]
+            yield _survey_rows(_SET, ids[first:last], [x for x, _ in names], [x for _, x in names], [len(s) for s in sets])
+            sets = [s for s in dict(zip(names, sets)).values() if len(s)]
+            if not sets:
+                continue
+            shingle, df = counted(np.sort(np.concatenate(sets)))
+            often = df >= FREQUENT_LOCALLY
+            yield _survey_rows(_SHINGLE, shingle[often].view(np.int64), None, None, df[often])
+            cost = np.zeros((len(SIZES) + 1, 2), np.int64)
+            for s in sets:
+                size = len(s)
+                lists = np.sort(df[np.searchsorted(shingle, s)])[: _prefix(size, 1)]
+                k = _prefix(size, 2)
+                scanned = len(lists) + (lists - 1).sum() * size * SCAN_COST
+                cost[np.searchsorted(SIZES, size, "right")] += (k * (k - 1) // 2, int(scanned))
+            at = np.flatnonzero(cost.sum(axis=1))
+            yield _survey_rows(_COST, at, cost[at, 0], cost[at, 1], np.zeros(len(at), np.int64))
 
 
 def _survey_rows(kind, a, b, c, n):
@@ -400,8 +392,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = stage(classes.join(groups, "set").select(
         "group", F.col("first_id").alias("doc_id"), F.col("n_shingles").alias("n")).distinct(), "jaccard-members")
     tiles = _tiles(members, tile_shingles)
-    # one text per member: rows that repeat a doc_id may carry different texts
-    wanted = docs.join(members.select("doc_id").distinct(), "doc_id", "left_semi").distinct()
+    # one text per member: rows that repeat a doc_id may carry different texts. The plan is the same at every size
+    wanted = docs.join(members.select("doc_id").distinct().hint("merge"), "doc_id", "left_semi").distinct()
     units = wanted.join(tiles, "doc_id")
     links = units.groupBy("unit", "own", "i", "j").applyInPandas(_tile_links, "u long, v long")
     # rows of one doc_id are one node, so their sets' classes are linked through it
