@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope.llm.jaccard_join import jaccard_join
-from folioscope.llm.line_dedup import drop_boilerplate
+from folioscope.llm.line_dedup import LOW_RATIO, drop_boilerplate
 from folioscope.llm.mixing import WORD_BREAK, mix_sources
 from folioscope.llm.packing import pack
 from folioscope.llm.quality import keep_good
@@ -25,7 +25,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def without_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that are boilerplate of their source; n_chars follows the text."""
     inner = docs.select("doc_id", "text", "lang", "source", "n_chars", F.struct(*docs.columns).alias("row"))
-    out = drop_boilerplate(inner)
+    out = drop_boilerplate(inner, low_ratio=LOW_RATIO)
     n_chars = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.select("text", n_chars.alias("n_chars"), "row").select(
         *[F.col(c) if c in ("text", "n_chars") else F.col("row")[c].alias(c) for c in docs.columns])
