@@ -29,3 +29,8 @@ def prose():
 
     return make
 
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return "/root/testdata/sf0.001"
