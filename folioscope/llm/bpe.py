@@ -58,6 +58,7 @@ class Vocabulary:
         if any(max(first_made.get(int(a), -1), first_made.get(int(b), -1)) >= rank for rank, (a, b) in enumerate(zip(left, right, strict=True))):
             raise ValueError("a pair ranks before the merge that makes its parts")
         self.size = max(vocab.values(), default=0) + 1
+        self.parts = list(zip(left.tolist(), right.tolist(), strict=True))
         keys = left * self.size + right
         self.rank_of = {int(k): r for r, k in enumerate(keys)}
         order = np.argsort(keys)
@@ -76,6 +77,9 @@ class Pieces:
 
         self.vocabulary = vocabulary
         self.normalizer = Tokenizer.from_str(vocabulary.source).normalizer
+        steps = json.loads(vocabulary.source)["normalizer"] or {"type": "Sequence", "normalizers": []}
+        kinds = [s["type"] for s in steps.get("normalizers", [steps])]
+        self.only_lowers = kinds == ["NFC", "Replace", "Lowercase"] and steps["normalizers"][1]["pattern"] == {"Regex": r"\s+"}
         self.split = pre_tokenizers.Split(Regex(vocabulary.pattern.pattern), "removed", invert=True)
         self.known: dict[str, bool] = {}
 
@@ -100,14 +104,17 @@ class Pieces:
         return out
 
     def _plain(self, text: str) -> list[str]:
-        text = self.normalizer.normalize_str(text) if self.normalizer is not None else text
+        if self.only_lowers and text.isascii():
+            text = text.lower()  # no composition; white space stands in no piece
+        elif self.normalizer is not None:
+            text = self.normalizer.normalize_str(text)
         if all(self.known.get(c) or self._agrees(c) for c in set(text)):
             return self.vocabulary.pattern.findall(text)
         return [p for p, _ in self.split.pre_tokenize_str(text)]
 
 
-def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]:
-    """Token ids of every piece (non-empty, in bytes), by ascending ranks over all positions of all pieces."""
+def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """Packed token ids of every piece (non-empty, in bytes), by ascending ranks over all positions of all pieces."""
     if not pieces:
         return []
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
@@ -135,15 +142,16 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]
         after[e - 1] = -1
         if e < len(symbol):
             before[e] = -1
-    rank_of, made, size = vocabulary.rank_of, vocabulary.made, vocabulary.size
+    rank_of, made, parts, size = vocabulary.rank_of, vocabulary.made, vocabulary.parts, vocabulary.size
     active = list(index)
     heapq.heapify(active)
     while active:
         rank = heapq.heappop(active)
-        token = made[rank]
-        for i in sorted(index.pop(rank)):
+        token, (left, right) = made[rank], parts[rank]
+        positions = index.pop(rank)
+        for i in sorted(positions) if left == right else positions:  # only a pair of equal symbols can overlap itself
             j = after[i]
-            if j < 0 or symbol[i] < 0 or rank_of.get(symbol[i] * size + symbol[j]) != rank:
+            if symbol[i] != left or j < 0 or symbol[j] != right:
                 continue  # an earlier merge took part of the pair
             symbol[i], symbol[j] = token, -1
             k = after[i] = after[j]
@@ -164,8 +172,8 @@ def merge_pieces(pieces: list[bytes], vocabulary: Vocabulary) -> list[list[int]]
     symbols = np.array(symbol, np.int64)
     alive = symbols >= 0
     kept = np.concatenate([[0], np.cumsum(alive)])[np.concatenate([[0], ends])]
-    flat = symbols[alive].tolist()
-    return [flat[a:b] for a, b in zip(kept[:-1].tolist(), kept[1:].tolist(), strict=True)]
+    flat, cuts = symbols[alive].astype("<u4").tobytes(), (kept * 4).tolist()
+    return [flat[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 class Encoder:
@@ -182,8 +190,7 @@ class Encoder:
             self.packed = {}
         new = [p for p in set().union(*cut) if p not in self.packed]
         plain = [p for p in new if p[0] != "\0" or p[1:] not in self.vocabulary.special]
-        for piece, ids in zip(plain, merge_pieces([p.encode() for p in plain], self.vocabulary), strict=True):
-            self.packed[piece] = np.array(ids, "<u4").tobytes()
+        self.packed.update(zip(plain, merge_pieces([p.encode() for p in plain], self.vocabulary), strict=True))
         for p in new:
             if p not in self.packed:
                 self.packed[p] = np.array([self.vocabulary.special[p[1:]]], "<u4").tobytes()
