@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from folioscope import fixed_values as fv
-from folioscope.functions.json_text import anchors_of, json_records, json_strings
+from folioscope.functions.json_text import json_records, json_strings
+from folioscope.functions.markup import link_table
 from folioscope.functions.periods import extract_periods, last_period, period_conflicts
 from folioscope.functions.text import clean_html_text, unescape_entities
 from folioscope.functions.urls import (
@@ -33,11 +34,11 @@ def extract_links(pages: DataFrame) -> DataFrame:
     """Anchors of (page_id, url, html): absolute address, collapsed text, text + address + titles."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for page in batch.itertuples(index=False):
-                for pos, (href, text, searchable) in enumerate(anchors_of(html.unescape(page.html or ""))):
-                    rows.append((page.page_id, page.url, pos, urljoin(page.url, href) if page.url else href, text, searchable))
-            yield pd.DataFrame(rows, columns=[f.name for f in LINKS.fields])
+            links = link_table(html.unescape(h or "") for h in batch["html"])
+            page_id, url = (batch[c].iloc[links["page"]].tolist() for c in ("page_id", "url"))
+            address = [urljoin(u, h) if u else h for u, h in zip(url, links["href"], strict=True)]
+            yield pd.DataFrame(dict(zip([f.name for f in LINKS.fields],
+                                        (page_id, url, links["pos"], address, links["text"], links["searchable"]), strict=True)))
 
     return pages.select("page_id", "url", "html").mapInPandas(run, LINKS)
 
