@@ -134,71 +134,164 @@ def alias_pairs(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> Dat
     return settle(_clusters(by_value, [code, "value_chain"], "quantity", "quantity_chain"))
 
 
-def _greedy(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Our rows in order take the first still unused reference code that is close on both measures."""
-    def near(a: float, b: np.ndarray) -> np.ndarray:
-        return (np.abs(a - b) / np.maximum(np.maximum(abs(a), np.abs(b)), 1e-9) <= fv.ALIAS_TOLERANCE) | (
-            (a == 0) & (b == 0))
+CLASS = ["quantity", "mkt_value"]  # rows of a scheme that agree in both want the same codes in the same order
+STEP = 0.002  # buckets of the logarithm; close values stand in the same or the next one
 
+
+def _bucket(value: str) -> Column:
+    """Place on a signed logarithmic scale on which close values differ by less than one step."""
+    size = F.log(F.greatest(F.abs(F.col(value)), F.lit(1e-9)) / 1e-9)
+    return F.floor(F.signum(F.col(value)) * size / STEP)
+
+
+def _wishes(mine: DataFrame, theirs: DataFrame, code: str) -> DataFrame:
+    """(scheme, class, wanted code): where its first close row stands and that row's value.
+
+    Classes meet reference points by equal buckets, not row by row: copies are folded on both sides first.
+    """
+    around = F.array(*[F.lit(d) for d in (-1, 0, 1)])
+    ours = mine.select(code, *CLASS).distinct().withColumn("bv", F.explode(F.transform(around, lambda d: _bucket("mkt_value") + d)))
+    ours = ours.withColumn("bq", F.explode(F.transform(around, lambda d: _bucket("quantity") + d)))
+    points = theirs.groupBy(code, "isin", *CLASS).agg(F.min("row_id").alias("at")).withColumns({"bv": _bucket("mkt_value"), "bq": _bucket("quantity")})
+    points = points.withColumnsRenamed({"isin": "wanted", "quantity": "r_quantity", "mkt_value": "r_value"})
+    met = ours.join(points, [code, "bv", "bq"]).filter(
+        close_to(F.col("quantity"), F.col("r_quantity")) & close_to(F.col("mkt_value"), F.col("r_value")))
+    return met.groupBy(code, *CLASS, "wanted").agg(F.min(F.struct("at", "r_value")).alias("first")).select(
+        code, *CLASS, "wanted", "first.at", "first.r_value")
+
+
+def _serial_choice(mine: DataFrame, wishes: DataFrame, code: str) -> DataFrame:
+    """(scheme, wanted, row_id, isin, class): every row takes its first close code that no earlier row takes.
+
+    Rows propose in rounds, a code keeps its earliest proposer and drops it only for an earlier one; as all codes prefer
+    earlier rows, this ends where a walk in row order ends. The n-th open row of a class proposes to the n-th code that
+    the class can still get, since the rows before it take a better one each: copies settle together in one round.
+    """
+    group, place = [code, *CLASS], F.struct("row_id", "isin")
+    if mine.isEmpty():
+        return mine.withColumn("wanted", F.lit(""))
+    held = mine.limit(0).select(code, F.lit("").alias("wanted"), "row_id", "isin", *CLASS)
+    block = F.shiftright("row_id", 12)
+    while True:
+        waiting = mine.join(held.select(code, "row_id", "isin"), [code, "row_id", "isin"], "left_anti")
+        earliest = waiting.groupBy(*group).agg(F.min(place).alias("earliest"))
+        holders = held.select(code, "wanted", F.struct("row_id", "isin").alias("holder"))
+        free = wishes.join(earliest, group).join(holders, [code, "wanted"], "left").filter(
+            F.col("holder").isNull() | (F.col("holder") > F.col("earliest")))
+        free = ordered_scan(free.select(*group, "wanted", "at"), group, ["at", "wanted"], F.shiftright("at", 12), position="nth")
+        asking = ordered_scan(waiting.select(*group, "row_id", "isin"), group, ["row_id", "isin"], block, position="nth")
+        proposals = settle(asking.join(free.drop("at"), [*group, "nth"]).select(code, "wanted", "row_id", "isin", *CLASS))
+        if proposals.isEmpty():
+            return held
+        kept = held.unionByName(proposals).groupBy(code, "wanted").agg(F.min(F.struct("row_id", "isin", *CLASS)).alias("k"))
+        held = settle(kept.select(code, "wanted", "k.*"))
+
+
+def _families(rows: DataFrame, code: str) -> DataFrame:
+    """Rows with the ``family`` of their chain: chains of a scheme that share a reference code, directly or by way of others.
+
+    Only chains with such a code take part in the rounds; each hands its smallest label on, until none changes.
+    """
+    chain = [code, "value_chain", "quantity_chain"]
+    label = F.struct("value_chain", "quantity_chain")
+    used = rows.filter(F.col("side") == "reference").select(*chain, "isin").distinct()
+    twice = used.groupBy(code, "isin").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    links = settle(used.join(twice, [code, "isin"], "left_semi").withColumn("family", label))
+    while True:
+        by_code = links.groupBy(code, "isin").agg(F.min("family").alias("low"))
+        by_chain = links.join(by_code, [code, "isin"]).groupBy(*chain).agg(F.min("low").alias("low"))
+        moved = settle(links.join(by_chain, chain))
+        links = moved.select(*chain, "isin", F.col("low").alias("family"))
+        if moved.filter(F.col("low") < F.col("family")).isEmpty():
+            break
+    shared = links.select(*chain, "family").distinct().withColumn("shared", F.lit(True))
+    return rows.join(shared, chain, "left").withColumns(
+        {"family": F.coalesce("family", label), "shared": F.coalesce("shared", F.lit(False))})
+
+
+def _walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One family: rows of ours in order take the first unused code that is close in both measures."""
     mine = pdf[pdf["side"] == "ours"].sort_values(["row_id", "isin"])
-    theirs = pdf[pdf["side"] == "reference"].sort_values(["row_id", "isin"])
-    isins, free = theirs["isin"].to_numpy(), np.ones(len(theirs), dtype=bool)
-    quantity, value = theirs["quantity"].to_numpy(), theirs["mkt_value"].to_numpy()
-    out = []
-    for row in mine.itertuples():
-        hit = np.flatnonzero(free & near(row.quantity, quantity) & near(row.mkt_value, value))
-        if len(hit):
-            out.append((row.isin, isins[hit[0]], row.quantity, row.mkt_value, value[hit[0]]))
-            free &= isins != isins[hit[0]]
-    return pd.DataFrame(out, columns=["isin_in_amc_file", "isin_in_icra", "quantity", "mkt_value_ours",
-                                      "mkt_value_icra"])
-
-
-def alias_candidates(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> DataFrame:
-    """Same holding, different code on each side: greedy one-to-one in row order.
-
-    The greedy walk runs per chain of close values, not per scheme, and chains with rows of one
-    side only are dropped. In a tight chain (all values mutually close, such as any number of
-    copies) the walk pairs the n-th row of ours with the n-th code of the reference, which needs
-    block-wise positions only. Chains longer than the tolerance reach Python, and so do, as one
-    group per scheme, chains that share a reference code, because a code is used only once.
+    points = pdf[pdf["side"] == "reference"].sort_values(["row_id", "isin"])
+    wanted, measures = points["isin"].to_numpy(), points[CLASS].to_numpy()
+    free, out = np.ones(len(points), dtype=bool), []
+    for row in mine.itertuples(index=False):
+        own = np.array([row.quantity, row.mkt_value])
+        gap = np.abs(measures - own) / np.maximum(np.maximum(np.abs(measures), np.abs(own)), 1e-9)
+        hits = np.flatnonzero(free & (gap <= fv.ALIAS_TOLERANCE).all(axis=1))
+        if len(hits):
+            out.append((row.isin, row.row_id, wanted[hits[0]], row.quantity, row.mkt_value, measures[hits[0], 1]))
+            free &= wanted != wanted[hits[0]]
+    return pd.DataFrame(out, columns=["isin", "row_id", "wanted", *CLASS, "mkt_value_icra"])
+
+
+WALK_ROWS = 4096  # rows of a family that one task walks; larger families go by rounds
+
+
+def alias_candidates(ours: DataFrame, ref: DataFrame, code: str = "amfi_code", walk_rows: int = WALK_ROWS) -> DataFrame:
+    """Same holding, different code on each side: one to one, the earlier row first.
+
+    Chains of close values with rows of one side only are dropped. In a tight chain (all values mutually close, such
+    as any number of copies) the n-th row of ours gets the n-th code of the reference. Other chains, joined to a family
+    where they share a code, are walked in one task up to ``walk_rows`` rows; larger families are settled by
+    rounds of proposals over all schemes at once, with the same result. House, fund and security name of our row
+    are added where ``ours`` has them; a blank security name falls back on the reference's fund.
     """
     chain = [code, "value_chain", "quantity_chain"]
     mine, theirs = F.col("side") == "ours", F.col("side") == "reference"
-    found = alias_pairs(ours, ref, code)
-    used = found.filter(theirs).select(*chain, "isin").distinct()
-    twice = used.groupBy(code, "isin").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    shared = used.join(twice, [code, "isin"], "left_semi").select(*chain).distinct().withColumn("shared", F.lit(True))
-    marked = found.join(shared, chain, "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
-    rows = settle(marked.withColumns({c: F.when(F.col("shared"), -1).otherwise(F.col(c)) for c in chain[1:]}))
-    sized = rows.groupBy(*chain).agg(
-        F.count_if(mine).alias("n_ours"), F.count_if(theirs).alias("n_ref"), F.min("quantity").alias("q0"),
-        F.max("quantity").alias("q1"), F.min("mkt_value").alias("v0"), F.max("mkt_value").alias("v1"),
-        F.bool_or("shared").alias("shared"),
+    rows = settle(_families(alias_pairs(ours, ref, code), code))
+    sized = rows.groupBy(code, "family").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(mine).alias("n_ours"), F.count_if(theirs).alias("n_ref"), F.min("quantity").alias("q0"),
+        F.max("quantity").alias("q1"), F.min("mkt_value").alias("v0"), F.max("mkt_value").alias("v1"), F.bool_or("shared").alias("shared"),
     ).filter("n_ours > 0 and n_ref > 0")
     tight = ~F.col("shared") & close_to(F.col("q0"), F.col("q1")) & close_to(F.col("v0"), F.col("v1"))
-    even = rows.join(sized.filter(tight).select(*chain), chain, "left_semi")
+    way = F.when(tight, "tight").when(F.col("n") <= walk_rows, "walk").otherwise("rounds")
+    rows = settle(rows.join(sized.select(code, "family", way.alias("way")), [code, "family"]))
+
+    even = rows.filter("way = 'tight'")
     block = F.shiftright("row_id", 12)
     left = ordered_scan(even.filter(mine), chain, ["row_id", "isin"], block, position="place")
     first = even.filter(theirs).groupBy(*chain, "isin").agg(
         F.min("row_id").alias("row_id"), F.min_by("mkt_value", "row_id").alias("mkt_value_icra"))
     right = ordered_scan(first, chain, ["row_id", "isin"], block, position="place").select(
-        *chain, "place", F.col("isin").alias("isin_in_icra"), "mkt_value_icra")
-    simple = left.join(right, [*chain, "place"]).select(
-        code, F.col("isin").alias("isin_in_amc_file"), "isin_in_icra", "quantity", F.col("mkt_value").alias("mkt_value_ours"),
-        "mkt_value_icra")
-    contested = rows.join(sized.filter(~tight).select(*chain), chain, "left_semi")
-    schema = T.StructType([contested.schema[code]] + [
-        T.StructField("isin_in_amc_file", T.StringType()), T.StructField("isin_in_icra", T.StringType()),
-        T.StructField("quantity", T.DoubleType()), T.StructField("mkt_value_ours", T.DoubleType()),
-        T.StructField("mkt_value_icra", T.DoubleType())])
-
-    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        found = _greedy(pdf)
-        found.insert(0, code, key[0])
-        return found
+        *chain, "place", F.col("isin").alias("wanted"), "mkt_value_icra")
+    out = [code, "isin", "row_id", "wanted", *CLASS, "mkt_value_icra"]
+    simple = left.join(right, [*chain, "place"]).select(*out)
 
-    return simple.unionByName(contested.groupBy(*chain).applyInPandas(run, schema))
+    def walk(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        found = _walk(pdf)
+        found.insert(0, code, key[0])
+        return found[out]
+
+    schema = T.StructType([T.StructField(n, T.StringType() if n in ("isin", "wanted") else T.LongType() if n == "row_id" else
+                                         rows.schema[code].dataType if n == code else T.DoubleType()) for n in out])
+    small = rows.filter("way = 'walk'").select(code, "family", "isin", "row_id", *CLASS, "side")
+    walked = small.groupBy(code, "family").applyInPandas(walk, schema)
+
+    large = rows.filter("way = 'rounds'")
+    claims = large.filter(mine).select(code, "isin", "row_id", *CLASS)
+    wishes = settle(_wishes(large.filter(mine), large.filter(theirs), code))
+    chosen = _serial_choice(claims, wishes, code).join(wishes, [code, *CLASS, "wanted"]).withColumnRenamed("r_value", "mkt_value_icra")
+    both = simple.unionByName(walked).unionByName(chosen.select(*out)).withColumnsRenamed(
+        {"isin": "isin_in_amc_file", "wanted": "isin_in_icra", "mkt_value": "mkt_value_ours"})
+    return _with_names(both, ours, ref, code)
+
+
+def _with_names(found: DataFrame, ours: DataFrame, ref: DataFrame, code: str) -> DataFrame:
+    """Names of the row our code stands in, as far as the inputs have them."""
+    have = [c for c in ("amc", "fund_name", "security_name") if c in ours.columns]
+    named = found
+    if have:
+        names = ours.select(code, F.col("isin").alias("isin_in_amc_file"), "row_id", *have)
+        named = found.join(names, [code, "isin_in_amc_file", "row_id"], "left")
+    if "security_name" in have:
+        spare = F.lit(None).cast("string")
+        if "fund_name" in ref.columns:
+            funds = ref.groupBy(code, F.col("isin").alias("isin_in_icra")).agg(F.min_by("fund_name", "row_id").alias("__fund"))
+            named, spare = named.join(funds, [code, "isin_in_icra"], "left"), F.col("__fund")
+        named = named.withColumn("security_name", F.coalesce(F.nullif("security_name", F.lit("")), spare, F.lit(""))).drop("__fund")
+    return named.select(*[c for c in ("amc", code, "fund_name") if c in named.columns], "isin_in_amc_file", "isin_in_icra",
+                        *[c for c in ("security_name",) if c in named.columns], "quantity", "mkt_value_ours", "mkt_value_icra")
 
 
 # --- self checks ---------------------------------------------------------------------------

@@ -363,10 +363,41 @@ def alias_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return ours, ref.drop("l_partkey").dropDuplicates()
 
 
-@query("alias_candidates")
+@query("alias_candidates", """
+WITH RECURSIVE base AS (
+  SELECT DISTINCT l_suppkey AS amfi_code, l_partkey, l_quantity AS quantity, l_extendedprice AS mkt_value, l_orderkey * 8 + l_linenumber AS row_id
+  FROM lineitem),
+ref AS (
+  SELECT amfi_code, CASE WHEN l_partkey % 20 = 0 THEN 'Q' ELSE 'P' END || l_partkey AS isin, quantity, row_id,
+         mkt_value * CASE WHEN l_partkey % 40 = 0 THEN 1.002 ELSE 1.0005 END AS mkt_value FROM base),
+only_ref AS (SELECT * FROM ref WHERE isin LIKE 'Q%'),
+only_ours AS (
+  SELECT amfi_code, 'P' || l_partkey AS isin, quantity, mkt_value, row_id, row_number() OVER (PARTITION BY amfi_code ORDER BY row_id, l_partkey) AS n
+  FROM base WHERE l_partkey % 20 = 0),
+wishes AS (
+  SELECT o.amfi_code, o.n, r.isin, min(r.row_id) AS spot, arg_min(r.mkt_value, r.row_id) AS ref_value
+  FROM only_ours o JOIN only_ref r ON r.amfi_code = o.amfi_code
+    AND (abs(o.quantity - r.quantity) / greatest(abs(o.quantity), abs(r.quantity), 1e-9) <= 0.001 OR (o.quantity = 0 AND r.quantity = 0))
+    AND (abs(o.mkt_value - r.mkt_value) / greatest(abs(o.mkt_value), abs(r.mkt_value), 1e-9) <= 0.001 OR (o.mkt_value = 0 AND r.mkt_value = 0))
+  GROUP BY ALL),
+lists AS (SELECT amfi_code, n, list(isin ORDER BY spot, isin) AS wanted FROM wishes GROUP BY ALL),
+walk AS (
+  SELECT amfi_code, 0::BIGINT AS n, NULL::VARCHAR AS taken, []::VARCHAR[] AS used FROM (SELECT DISTINCT amfi_code FROM only_ours)
+  UNION ALL
+  SELECT w.amfi_code, o.n, list_filter(coalesce(l.wanted, []), lambda x: NOT list_contains(w.used, x))[1],
+         w.used || list_filter(coalesce(l.wanted, []), lambda x: NOT list_contains(w.used, x))[:1]
+  FROM walk w JOIN only_ours o ON o.amfi_code = w.amfi_code AND o.n = w.n + 1 LEFT JOIN lists l ON l.amfi_code = o.amfi_code AND l.n = o.n)
+SELECT 'house ' || (o.amfi_code % 5) AS amc, o.amfi_code, 'fund ' || o.amfi_code AS fund_name, o.isin AS isin_in_amc_file, w.taken AS isin_in_icra,
+       CASE WHEN o.row_id % 3 = 0 THEN 'fund ' || o.amfi_code ELSE 'paper ' || substr(o.isin, 2) END AS security_name,
+       o.quantity, round(o.mkt_value, 2) AS mkt_value_ours, round(s.ref_value, 2) AS mkt_value_icra
+FROM walk w JOIN only_ours o ON o.amfi_code = w.amfi_code AND o.n = w.n JOIN wishes s ON s.amfi_code = o.amfi_code AND s.n = o.n AND s.isin = w.taken""")
 def alias_candidates(spark: SparkSession, sf: str) -> DataFrame:
+    """Every third row of ours has no security name; the reference's fund stands in."""
     ours, ref = alias_inputs(spark, sf)
-    out = rec.alias_candidates(ours, ref)
+    fund = F.concat(F.lit("fund "), F.col("amfi_code").cast("string"))
+    paper = F.when(F.col("row_id") % 3 == 0, "").otherwise(F.concat(F.lit("paper "), F.expr("substr(isin, 2)")))
+    ours = ours.withColumns({"amc": F.concat(F.lit("house "), (F.col("amfi_code") % 5).cast("string")), "fund_name": fund, "security_name": paper})
+    out = rec.alias_candidates(ours, ref.withColumn("fund_name", fund))
     return out.withColumns({c: F.round(c, 2) for c in ("mkt_value_ours", "mkt_value_icra")})
 
 

@@ -64,24 +64,59 @@ def test_alias_candidates_are_greedy_one_to_one(spark):
     assert got == {("A1", "R1"), ("A2", "R2")}
 
 
+def plain_walk(ours, ref):
+    """Rows of one scheme in order take the first unused close code."""
+    def close(a, b):
+        return (a == 0 and b == 0) or abs(a - b) / max(abs(a), abs(b), 1e-9) <= 0.001
+
+    used, out = set(), set()
+    for _, isin, q, v, _ in sorted(ours, key=lambda r: (r[4], r[1])):
+        for _, other, rq, rv, _ in sorted(ref, key=lambda r: (r[4], r[1])):
+            if other not in used and close(q, rq) and close(v, rv):
+                used.add(other)
+                out.add((isin, other, rv))
+                break
+    return out
+
+
+ALIAS = "amfi_code string, isin string, quantity double, mkt_value double, row_id long"
+
+
+def found_aliases(spark, ours, ref, **options):
+    got = R.alias_candidates(spark.createDataFrame(ours, ALIAS), spark.createDataFrame(ref, ALIAS), **options).collect()
+    return {s: {(r.isin_in_amc_file, r.isin_in_icra, r.mkt_value_icra) for r in got if r.amfi_code == s} for s in {r[0] for r in ours}}
+
+
 def test_alias_candidates_against_one_plain_walk(spark):
-    """Copies, long chains and negative values: the chain-wise result equals one walk over the scheme."""
+    """Copies, long chains, shared codes and negative values in a hot scheme and small ones: rounds equal one walk per scheme."""
     import random
 
-    import pandas as pd
-
     rnd = random.Random(5)
-    rows = []
-    for i in range(300):
+    ours, ref = [], []
+    for i in range(420):
+        scheme = "hot" if i < 300 else f"s{i % 5}"
         q, v = rnd.choice([5.0, 7.0, 0.0]), rnd.choice([100.0, 100.05, 100.12, 100.2, -40.0, -40.02, 900.0])
-        rows.append(("s", f"O{i}", q, v, i, "ours"))
+        ours.append((scheme, f"O{i}", q, v, i))
         if rnd.random() < 0.8:
-            rows.append(("s", f"R{i if rnd.random() < 0.9 else i // 20}", q, v * rnd.choice([1.0, 1.0004, 0.9993]), i, "reference"))
-    pdf = pd.DataFrame(rows, columns=["amfi_code", "isin", "quantity", "mkt_value", "row_id", "side"])
-    want = {tuple(r) for r in R._greedy(pdf)[["isin_in_amc_file", "isin_in_icra"]].itertuples(index=False)}
-    df = spark.createDataFrame(rows, "amfi_code string, isin string, quantity double, mkt_value double, row_id long, side string")
-    got = R.alias_candidates(df.filter("side = 'ours'").drop("side"), df.filter("side = 'reference'").drop("side")).collect()
-    assert {(r.isin_in_amc_file, r.isin_in_icra) for r in got} == want
+            ref.append((scheme, f"R{i if rnd.random() < 0.9 else i // 20}", q, v * rnd.choice([1.0, 1.0004, 0.9993]), i))
+    got = found_aliases(spark, ours, ref)
+    for scheme in got:
+        assert got[scheme] == plain_walk([r for r in ours if r[0] == scheme], [r for r in ref if r[0] == scheme])
+
+
+def test_later_rows_give_way(spark):
+    """Families above the bound: copies settle by place, and codes wanted by an earlier row of another value are given up."""
+    ours = [("s", f"O{i}", 1.0, 100.0 + 0.09 * (5 - i % 6), i) for i in range(18)]
+    ref = [("s", f"R{i}", 1.0, 100.0 + 0.09 * (i % 6), i) for i in range(14)]
+    assert found_aliases(spark, ours, ref, walk_rows=0)["s"] == plain_walk(ours, ref)
+
+
+def test_alias_candidates_carry_names(spark):
+    schema = ALIAS + ", amc string, fund_name string, security_name string"
+    ours = spark.createDataFrame([("s", "A", 1.0, 5.0, 1, "h", "Our Fund", "Paper"), ("s", "B", 2.0, 6.0, 2, "h", "Our Fund", "")], schema)
+    ref = spark.createDataFrame([("s", "X", 1.0, 5.0, 1, "h", "Ref Fund", "x"), ("s", "Y", 2.0, 6.0, 2, "h", "Ref Fund", "y")], schema)
+    got = {tuple(r) for r in R.alias_candidates(ours, ref).collect()}
+    assert got == {("h", "s", "Our Fund", "A", "X", "Paper", 1.0, 5.0, 5.0), ("h", "s", "Our Fund", "B", "Y", "Ref Fund", 2.0, 6.0, 6.0)}
 
 
 def test_near_misses_against_all_pairs(spark):
