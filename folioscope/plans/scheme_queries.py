@@ -234,15 +234,16 @@ def mapping_fixes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("duplicate_codes", """
-WITH r AS (SELECT c_nationkey::VARCHAR AS amc, (c_custkey % 50)::VARCHAR AS code, upper(c_mktsegment) || CASE WHEN c_custkey % 50 % 2 = 0 THEN ' ' || c_custkey % 7 ELSE '' END AS k
-           FROM customer WHERE c_custkey % 50 % 2 = 0 OR c_mktsegment = 'BUILDING'),
-m AS (SELECT amc, code FROM r GROUP BY 1, 2 HAVING count(DISTINCT k) > 1)
+WITH r AS (SELECT c_nationkey::VARCHAR AS amc, (c_custkey % 50)::VARCHAR || CASE WHEN c_custkey % 2 = 1 THEN c_mktsegment ELSE '' END AS code,
+                  CASE WHEN c_custkey % 2 = 0 THEN upper(c_mktsegment) || ' ' || c_custkey % 7
+                       ELSE upper(c_mktsegment) || CASE WHEN c_custkey % 3 = 0 THEN ' FUND' ELSE '' END END AS k FROM customer),
+m AS (SELECT amc, code FROM r WHERE code NOT SIMILAR TO '.*[A-Z]' GROUP BY 1, 2 HAVING count(DISTINCT k) > 1)
 SELECT DISTINCT r.amc, r.code AS amfi_code, r.k AS match_key FROM r JOIN m USING (amc, code)""")
 def duplicate_codes(spark: SparkSession, sf: str) -> DataFrame:
     """Odd codes carry one scheme in several spellings, even codes carry different schemes."""
-    c = table(spark, sf, "customer").filter("c_custkey % 50 % 2 = 0 or c_mktsegment = 'BUILDING'")
-    even = F.col("c_custkey") % 50 % 2 == 0
+    c, even = table(spark, sf, "customer"), F.col("c_custkey") % 2 == 0
     spelled = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.upper("c_mktsegment"), F.lit(" FUND"))).otherwise(F.upper("c_mktsegment"))
     key = F.when(even, F.concat(F.upper("c_mktsegment"), F.lit(" "), (F.col("c_custkey") % 7).cast("string"))).otherwise(spelled)
-    rows = c.select(F.col("c_nationkey").cast("string").alias("amc"), (F.col("c_custkey") % 50).cast("string").alias("amfi_code"), key.alias("match_key"))
+    code = F.concat((F.col("c_custkey") % 50).cast("string"), F.when(even, "").otherwise(F.col("c_mktsegment")))
+    rows = c.select(F.col("c_nationkey").cast("string").alias("amc"), code.alias("amfi_code"), key.alias("match_key"))
     return M.duplicate_codes(rows).distinct()

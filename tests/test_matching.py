@@ -34,6 +34,25 @@ def test_mapping_audit(spark):
     assert fixed["OVERNIGHT"] == ("2", "Overnight Fund") and fixed["NIFTY 50 INDEX"][0] == "1"
 
 
+def test_duplicate_codes_equal_all_pairs(spark):
+    """Codes whose names are all near the shortest one are compared in tiles; numbers that contradict each other decide."""
+    import itertools
+    import random
+
+    from pyspark.sql import functions as F
+
+    from folioscope.functions.similarity import name_similarity
+
+    rnd = random.Random(2)
+    words = ["NIFTY", "50", "500", "INDEX", "FUND", "NEXT", "LIQUID", "SERIES", "194", "294"]
+    rows = [("h", str(c), " ".join(rnd.sample(words[: 5 + c % 6], rnd.randrange(1, 5)))) for c in range(40) for _ in range(2 + c % 4)]
+    df = spark.createDataFrame(rows, "amc string, amfi_code string, match_key string")
+    pairs = {(c, *p) for c in {r[1] for r in rows} for p in itertools.permutations(sorted({r[2] for r in rows if r[1] == c}), 2)}
+    scored = spark.createDataFrame(list(pairs), "code string, a string, b string").select("code", name_similarity(F.col("a"), F.col("b")).alias("s"))
+    bad = {r.code for r in scored.groupBy("code").agg(F.min("s").alias("s")).collect() if r.s < 0.9}
+    assert {r.amfi_code for r in M.duplicate_codes(df).collect()} == bad and 5 < len(bad) < 40
+
+
 def test_tiered_match(spark):
     portfolio = spark.createDataFrame([("100001", "Demo Large Cap Fund"), ("100002", "Demo Small Cap Fund"), ("", "Demo Twin Fund"),
                                        ("100004", "Demo Twin (Fund)")], "amfi_code string, fund_name string")
