@@ -132,8 +132,9 @@ FROM w LEFT JOIN h USING (amc, period) LEFT JOIN (SELECT DISTINCT amc FROM p) n
 LEFT JOIN p ON p.amc = w.amc AND p.period = w.period""")
 def unavailable_or_broken(spark: SparkSession, sf: str) -> DataFrame:
     rows = dated_orders(spark, sf).withColumns({
-        "amc": F.concat(F.lit("h"), F.col("o_orderkey") % 9), "label": F.concat(F.lit("Portfolio "), F.date_format("d", "MMMM yyyy"))})
-    listed = L.published_periods(rows.filter("o_orderkey % 9 < 7"))
+        "amc": F.concat(F.lit("h"), F.col("o_orderkey") % 9), "label": F.when(
+            F.col("o_orderkey") % 9 < 7, F.concat(F.lit("Portfolio "), F.date_format("d", "MMMM yyyy"))).otherwise("Notice to unit holders")})
+    listed = L.published_periods(rows)
     have = listed.filter("right(published, 2) not in ('05', '06')").select("amc", F.col("published").alias("period"))
     wanted = rows.select("amc", F.date_format(F.add_months("d", 3), "yyyy-MM").alias("period")).distinct()
     return V.unavailable_or_broken(wanted, listed, have).select("amc", "period", "verdict")
@@ -726,7 +727,7 @@ def content_sniff(spark: SparkSession, sf: str) -> DataFrame:
     k = F.col("n_chars") % 7
     body = (
         F.when(k == 1, F.lit("\n <HTML><body>")).when(k == 2, F.lit("<?xml version=1")).when(k == 3, F.lit("PK.."))
-        .when(k == 4, F.lit("OLE")).otherwise(F.substring("text", 1, 40))
+        .when(k == 4, F.lit("OLE")).otherwise(F.col("text"))
     )
     head = F.when(k == 4, F.unhex(F.lit("D0CF11E0A1B11AE1"))).otherwise(F.encode(body, "UTF-8"))
     kind = F.when((F.col("doc_id") % 2 == 0), "xls").when(k == 4, "xlsm").otherwise("xlsx")

@@ -228,7 +228,7 @@ def seed_conflicts(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("priority_union", """
 WITH a AS (
-  SELECT c_custkey % 700 AS isin, c_name AS name, 0 AS priority, c_custkey AS ord FROM customer WHERE c_acctbal > 5000
+  SELECT c_custkey % 700 AS isin, c_name AS name, CASE WHEN c_acctbal > 5000 THEN 0 ELSE 3 END AS priority, c_custkey AS ord FROM customer
   UNION ALL SELECT s_suppkey % 700, s_name, 1, s_suppkey FROM supplier
   UNION ALL SELECT p_partkey % 700, p_name, 2, p_partkey FROM part)
 SELECT isin, name, priority::BIGINT AS priority, ord FROM a QUALIFY row_number() OVER (PARTITION BY isin ORDER BY priority, ord) = 1""")
@@ -237,22 +237,29 @@ def priority_union(spark: SparkSession, sf: str) -> DataFrame:
         df = table(spark, sf, name)
         return df.select((F.col(key) % 700).alias("isin"), F.col(label).alias("name"), F.col(key).alias("ord"))
 
-    rich = table(spark, sf, "customer").filter("c_acctbal > 5000").select(
-        (F.col("c_custkey") % 700).alias("isin"), F.col("c_name").alias("name"), F.col("c_custkey").alias("ord"))
-    return identity.priority_union([rich, source("supplier", "s_suppkey", "s_name"), source("part", "p_partkey", "p_name")])
+    customers, large = source("customer", "c_custkey", "c_name"), table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("ord"), (F.col("c_acctbal") > 5000).alias("large"))
+    customers = customers.join(large, "ord")
+    first, last = (customers.filter(f).select("isin", "name", "ord") for f in ("large", "NOT large"))
+    return identity.priority_union([first, source("supplier", "s_suppkey", "s_name"), source("part", "p_partkey", "p_name"), last])
 
 
 FILL_SQL = f"""
 WITH {PART_CODE_SQL},
-m AS (SELECT code, p_name FROM coded WHERE p_partkey % 4 = 1),
+m AS (SELECT CASE WHEN p_partkey % 4 = 1 THEN code ELSE 'X' || code END AS code, p_name FROM coded),
 c AS (SELECT substr(code, 1, 7) AS prefix, p_name, count(*) AS n FROM m GROUP BY 1, 2),
 i AS (SELECT prefix, arg_min(p_name, (-n, p_name)) AS issuer_name, max(n) AS n, count(*) AS candidates FROM c GROUP BY 1)"""
 
 
+def master_names(parts: DataFrame) -> DataFrame:
+    """All parts; three of four stand under a code that no line has."""
+    isin = F.when(F.col("p_partkey") % 4 == 1, F.col("code")).otherwise(F.concat(F.lit("X"), "code"))
+    return parts.select(isin.alias("isin"), F.col("p_name").alias("name"))
+
+
 @query("issuer_prefix", FILL_SQL + " SELECT prefix, issuer_name, n, candidates FROM i")
 def issuer_prefix(spark: SparkSession, sf: str) -> DataFrame:
-    master = coded_parts(spark, sf).filter("p_partkey % 4 = 1").select(F.col("code").alias("isin"), F.col("p_name").alias("name"))
-    return identity.issuer_names(master)
+    return identity.issuer_names(master_names(coded_parts(spark, sf)))
 
 
 @query("name_fill_rate", FILL_SQL + """,
@@ -264,7 +271,7 @@ SELECT p_type, count(*) AS rows, count(*) FILTER (src = 'master') AS from_master
 FROM f GROUP BY 1""")
 def name_fill_rate(spark: SparkSession, sf: str) -> DataFrame:
     parts = coded_parts(spark, sf)
-    master = parts.filter("p_partkey % 4 = 1").select(F.col("code").alias("isin"), F.col("p_name").alias("name"))
+    master = master_names(parts)
     rows = table(spark, sf, "lineitem").select("l_partkey").join(
         parts.select(F.col("p_partkey").alias("l_partkey"), F.col("code").alias("isin"), "p_type"), "l_partkey")
     out = identity.with_name_source(rows, master, identity.issuer_names(master))

@@ -109,7 +109,8 @@ def code_list_match(spark: SparkSession, sf: str) -> DataFrame:
     portfolio = c.select(F.col("code").alias("amfi_code"), F.col("new").alias("fund_name"))
     universe = A.build_universe(portfolio, c.limit(0).select(
         F.col("code").alias("amfi_code"), F.col("old").alias("scheme_name"), F.lit("").alias("mf_name")))
-    codes = A.house_code_keys(c.filter("c_custkey % 3 <> 0").select("code", F.col("old").alias("name")))
+    listed = F.when(F.col("c_custkey") % 3 != 0, F.col("old")).otherwise(F.concat(F.lit("Withdrawn Plan "), key, F.lit(" Papers")))
+    codes = A.house_code_keys(c.select("code", listed.alias("name")))
     units = c.select(F.col("c_custkey").cast("string").alias("unit_id"), F.lit("").alias("scope"), F.lit(None).cast("string").alias("printed_code"))
     texts = c.select(F.col("c_custkey").cast("string").alias("unit_id"), F.col("old").alias("raw"), F.lit("sheet:s:row0").alias("source"),
                      F.lit(100).alias("ord"), F.lit(True).alias("need_word"))
