@@ -40,7 +40,7 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_mixing", f"""
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN text IS NULL THEN 0 ELSE len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) END AS size,
-         md5('{SEED}:' || coalesce(doc_id::VARCHAR, '')) AS ord
+         md5('{SEED}:' || coalesce(doc_id::VARCHAR, md5(coalesce(text, '')))) AS ord
   FROM documents),
 totals AS (
   SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
@@ -65,18 +65,24 @@ placed AS (
   SELECT s.*, t.source_size, t.target, coalesce(q.quota, 0) AS quota, ('0x' || substr(ord, 1, 8))::BIGINT % t.shards AS shard
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
   LEFT JOIN quotas q ON s.source IS NOT DISTINCT FROM q.source),
-shards AS (SELECT source, shard, quota, sum(size)::BIGINT AS shard_size FROM placed GROUP BY ALL),
+shards AS (SELECT source, shard, quota, target, sum(size)::BIGINT AS shard_size FROM placed GROUP BY ALL),
 shard_quotas AS (
   SELECT source, shard, count(*) AS shard_quota FROM (
     SELECT source, shard, quota,
            row_number() OVER (PARTITION BY source ORDER BY shard_size / (2 * k + 1) DESC, shard) AS place
     FROM (SELECT *, unnest(range(quota)) AS k FROM shards WHERE shard_size > 0))
   WHERE place <= quota GROUP BY source, shard),
+blocked AS (
+  SELECT s.*, least(coalesce(shard_quota, 0) * {BLOCK_WORDS}, shard_size * {MAX_REPEATS}) AS base
+  FROM shards s LEFT JOIN shard_quotas q ON s.source IS NOT DISTINCT FROM q.source AND s.shard = q.shard),
+gaps AS (
+  SELECT *, shard_size * {MAX_REPEATS} - base AS room, round(target)::BIGINT - sum(base) OVER (PARTITION BY source) AS missing FROM blocked),
 runs AS (
-  SELECT s.*, least(coalesce(shard_quota, 0) * {BLOCK_WORDS}, shard_size * {MAX_REPEATS} // {BLOCK_WORDS} * {BLOCK_WORDS}) AS words,
+  SELECT s.*, base + CASE WHEN missing >= 0 THEN greatest(least(missing - (sum(room) OVER before - room), room), 0)
+                          ELSE -greatest(least(-missing - (sum(base) OVER before - base), base), 0) END AS words,
          CASE WHEN shard_size > 0 THEN
            ('0x' || substr(md5('{SEED + 1}:' || coalesce(s.source, '') || '/' || s.shard), 1, 8))::BIGINT % shard_size ELSE 0 END AS start
-  FROM shards s LEFT JOIN shard_quotas q ON s.source IS NOT DISTINCT FROM q.source AND s.shard = q.shard),
+  FROM gaps s WINDOW before AS (PARTITION BY source ORDER BY shard)),
 spans AS (
   SELECT p.*, r.shard_size, r.start, CASE WHEN r.shard_size > 0 THEN r.words // r.shard_size ELSE 0 END AS whole,
          CASE WHEN r.shard_size > 0 THEN r.words % r.shard_size ELSE 0 END AS rest,

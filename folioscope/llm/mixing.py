@@ -4,8 +4,9 @@ Every source is a stream of words, cut into blocks of equally many. Its target i
 words, held at ``max_repeats`` times its own size; what that frees goes to the other sources by weight.
 Blocks are allocated to sources by highest quotients target / (2k + 1), and the blocks of a source to its
 shards by the same rule on shard sizes. Inside a shard the documents stand in a seeded order, and the quota
-is taken as a run of blocks from a seeded start, round and round, so that the words taken are exactly
-the quota and a word is never taken more than ``max_repeats`` times.
+is taken as a run of blocks from a seeded start, round and round. The last block of a shard may be partial: what
+rounding to blocks, or the limit of a shard, leaves over or short of the target goes to the source's shards in order, so
+each source gives its rounded target exactly, and no word is taken more than ``max_repeats`` times.
 
 The highest-quotient rule is not walked block by block: the quotas are the rounded targets in blocks, and only
 the quotients around them are ranked for the few blocks that rounding leaves over or short. Only the table of sources
@@ -13,8 +14,9 @@ and the shards of one source are ever ordered as a whole; documents are ordered
 about ``shard_words`` words of one source.
 
 Defined results: a null text has size 0 and takes nothing; documents of one source with equal id and size are
-interchangeable. A null source is a source, last in order. Sources without words take nothing, and an
-empty table gives no rows. Extra columns pass through; ``__`` names are reserved.
+interchangeable. Documents without id are dealt to shards by their text. A null source is a source, last in order.
+Sources without words take nothing, and an empty table gives no rows. Texts of any length are counted whole and may be
+taken in part. Extra columns play no part, whatever their names, and are not returned.
 """
 
 from __future__ import annotations
@@ -94,6 +96,23 @@ def sainte_lague(rows: DataFrame, claim: str, seats: str, out: str, keys: list[s
     return joined.withColumn(out, F.col("__seats") + F.coalesce("__moved", F.lit(0))).drop("__exact", "__seats", "__off", "__moved")
 
 
+def to_target(shards: DataFrame, max_repeats: int) -> DataFrame:
+    """``words`` of each shard (source, shard, shard_size, target, words) made to sum to the source's rounded target.
+
+    Words that are missing go to the shards in order, as far as each has room; words too many are taken back likewise.
+    """
+    source = Window.partitionBy("source")
+    before = source.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+
+    def run(amount: Column, room: Column) -> Column:
+        return F.greatest(F.least(amount - F.coalesce(F.sum(room).over(before), F.lit(0)), room), F.lit(0))
+
+    missing = F.round("target").cast("long") - F.sum("words").over(source)
+    room = F.col("shard_size") * max_repeats - F.col("words")
+    words = F.when(missing >= 0, F.col("words") + run(missing, room)).otherwise(F.col("words") - run(-missing, F.col("words")))
+    return shards.withColumn("words", words.cast("long"))
+
+
 def _hash(seed: int, key: Column) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
@@ -111,26 +130,24 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sour
     ``last`` and, where the run goes round, from 0 up to ``wrapped`` are taken once more.
     """
     sized = stage(docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")),
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        _hash(seed, F.coalesce(F.col(id_col).cast("string"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))).alias("__order")),
         "document-sizes")
     sources = source_targets(sized, weights, max_repeats)
     whole = Window.partitionBy()
     blocks = F.round(F.sum("target").over(whole) / block_words).cast("long")
     sources = sainte_lague(sources.withColumn("__blocks", blocks), "target", "__blocks", "quota", ["source"], [])
     sources = stage(sources.withColumn("shards", F.ceil(F.greatest("source_size", F.lit(1)) / shard_words)), "source-quotas")
-    digest = _hash(seed, F.col("doc_id"))
     named = sources.select(F.col("source").alias("__s"), "source_size", "target", "quota", "shards")
-    placed = sized.join(named, F.col("source").eqNullSafe(F.col("__s"))).drop("__s").withColumns({
-        "__order": digest}).withColumn("shard", _number(F.col("__order"), 1) % F.col("shards"))
+    placed = sized.join(named, F.col("source").eqNullSafe(F.col("__s"))).drop("__s").withColumn(
+        "shard", _number(F.col("__order"), 1) % F.col("shards"))
 
-    sizes = placed.groupBy("source", "shard", "quota").agg(F.sum("size").alias("shard_size"))
+    sizes = placed.groupBy("source", "shard", "quota", "target").agg(F.sum("size").alias("shard_size"))
     shards = sainte_lague(sizes, "shard_size", "quota", "shard_quota", ["source", "shard"], ["source"])
     start = F.when(F.col("shard_size") > 0, _number(_hash(seed + 1, F.concat_ws(
         "/", F.coalesce("source", F.lit("")), "shard")), 1) % F.col("shard_size"))
-    shards = shards.select(
-        F.col("source").alias("__s"), F.col("shard").alias("__k"), "shard_size", start.alias("start"),
-        F.least(F.col("shard_quota") * block_words, F.floor(F.col("shard_size") * max_repeats / block_words) * block_words)
-        .alias("words"))
+    shards = to_target(shards.withColumn("words", F.least(F.col("shard_quota") * block_words, F.col("shard_size") * max_repeats)), max_repeats)
+    shards = shards.select(F.col("source").alias("__s"), F.col("shard").alias("__k"), "shard_size", start.alias("start"), "words")
     stream = Window.partitionBy("source", "shard").orderBy("__order", "doc_id", "size")
     placed = placed.withColumn("__end", F.sum("size").over(stream.rowsBetween(Window.unboundedPreceding, 0)))
     joined = placed.join(shards, F.col("source").eqNullSafe(F.col("__s")) & (F.col("shard") == F.col("__k")))
