@@ -77,3 +77,22 @@ def test_edges(spark, documents):
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, folder)
     assert docs.collect() == []
+
+
+def test_mixed_runs_keep_line_breaks(spark, documents):
+    texts = {i: f"  head {i}\n\tindented  twice\r\n" + "\n".join(f"line {j} of\t{i}" for j in range(9 + i)) + " \n" for i in range(12)}
+    got = corpus_pipeline.mixed_sources(spark, documents([(i, t, "en", f"s{i % 3}") for i, t in texts.items()]), "").collect()
+    parts = 0
+    for r in got:
+        whole = texts[r.doc_id]
+        cuts = [k for k, c in enumerate(r.text) if c == "\n"]
+        assert r.text in whole or any(r.text[:k] in whole and r.text[k + 1 :] in whole for k in cuts)
+        parts += r.text != whole
+    assert parts >= 2
+
+
+def test_rows_sharing_an_id_with_other_texts_stay(spark, documents):
+    rows = [(1, "one text of its own here", "en", "a"), (1, "quite another text under that id", "de", "b"), (1, "one text of its own here", "en", "0"),
+            (2, "a third text without any partner at all", "en", "a")]
+    got = corpus_pipeline.one_of_each_group(spark, documents(rows), "").collect()
+    assert sorted((r.doc_id, r.text, r.source) for r in got) == sorted([(1, rows[2][1], "0"), (1, rows[1][1], "b"), (2, rows[3][1], "a")])
