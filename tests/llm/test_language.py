@@ -60,7 +60,7 @@ def test_svm_separates():
     assert (np.sign(x @ w[:-1] + w[-1]) == y).mean() > 0.97
 
 
-def backoff(rows):
+def backoff(rows, min_count):
     words = {}
     for i, t in rows:
         words.setdefault(i, []).append(words_of(t))
@@ -73,7 +73,7 @@ def backoff(rows):
     total = sum(one.values())
     out = {}
     for i, docs in words.items():
-        logs = [math.log(one[b] / total) if a is None else math.log(two[a, b] / one[a]) if two[a, b] >= 2 else math.log(ALPHA * one[b] / total)
+        logs = [math.log(one[b] / total) if a is None else math.log(two[a, b] / one[a]) if two[a, b] >= min_count else math.log(ALPHA * one[b] / total)
                 for w in docs for a, b in zip([None, *w], w)]
         out[i] = (len(logs), sum(logs) if logs else None)
     return out
@@ -83,8 +83,8 @@ def test_scores_equal_the_stated_formula(documents, prose):
     rows = [(i, " ".join(prose(i, 5 + i % 90, 60))) for i in range(150)]
     rows += [(200 + i, "hot pair " * 30 + " ".join(prose(i, 3, 10**6))) for i in range(100)]  # a very common word pair
     rows += [(400, None), (401, " \n"), (402, "ÄÖ äö ÄÖ äö"), (403, "Word WORD word"), (1, "again in two rows"), (None, "no id"), (500, "very long text " * 20000)]
-    want = backoff(rows)
-    for options in ({}, {"heavy_share": 0.01, "shard_words": 3000}, {"heavy_share": 0.5, "shard_words": 500}):
+    for options in ({}, {"heavy_share": 0.01, "shard_words": 3000}, {"heavy_share": 0.5, "shard_words": 500}, {"min_count": 2, "shard_words": 900}):
+        want = backoff(rows, options.get("min_count", 1))
         got = {r.doc_id: (r.n_words, r.log_score) for r in backoff_scores(documents(rows), **options).collect()}
         assert got.keys() == want.keys()
         for i, (n, score) in want.items():
