@@ -357,3 +357,43 @@ HOUSE_FOLDER_NAMES = {
     "bandhan/monthly-half-yearly": "Bandhan Mutual Fund",
     "bandhan/monthly": "Bandhan Mutual Fund",
 }
+
+# --- Fixed values: which layout reads a house; all others are generic ---------------------
+HOUSE_LAYOUTS = {"360_one": "fixed", "pgim": "filename", "tata": "index"}
+
+# --- Fixed values: what a house's listing must and must not show ----------------------------
+# Per house a list of clauses, all of which must hold. A clause holds if one of its conditions
+# (action, field, pattern) does; fields are url, name, folder, text and evidence (text and url).
+WORKBOOK_ADDRESS = ("include", "url", r"(?i)\.(?:xls|xlsx)(?:[?#]|$)")
+WORKBOOK_OR_ARCHIVE_ADDRESS = ("include", "url", r"(?i)\.(?:zip|xls|xlsx)(?:[?#]|$)")
+HOUSE_RULES = {
+    "capitalmind": [[WORKBOOK_ADDRESS], [("include", "url", r"(?i)monthly_portfolio")]],
+    "dsp": [[WORKBOOK_OR_ARCHIVE_ADDRESS], [("include", "text", r"(?i)portfolio\s+details\s+as\s+on")]],
+    "franklin_templeton": [[WORKBOOK_ADDRESS], [("include", "url", r"(?i)monthly-portfolio-dsclr")]],
+    "helios": [[WORKBOOK_ADDRESS], [("include", "url", r"(?i)monthly-portfolio")]],
+    "hsbc": [
+        [WORKBOOK_ADDRESS],
+        [("exclude", "url", r"(?i)fortnightly-debt-portfolio|weekly-fund-portfolios|half-yearly-portfolios")],
+        [("include", "url", r"(?i)documents?-"), ("include", "evidence", r"(?i)monthly-portfolio"), ("include", "folder", r"(?i)^portfolios$")],
+        [("include", "url", r"(?i)documents?-"), ("include", "evidence", r"(?i)monthly-portfolio"), ("exclude", "name", r"(?i)half-yearly|fortnightly|weekly")],
+    ],
+    "motilal_oswal": [
+        [WORKBOOK_ADDRESS], [("include", "text", r"(?i)month\s*end\s*portfolio")], [("exclude", "name", r"(?i)forth?nightly|weekly|half[- ]?year")]],
+    "nippon_india": [
+        [WORKBOOK_ADDRESS], [("include", "evidence", r"(?i)monthly[\s_-]*portfolio|portfolio[\s_-]*monthly")], [("exclude", "evidence", r"(?i)fortnightly")]],
+    "old_bridge": [
+        [WORKBOOK_ADDRESS], [("include", "url", r"(?i)/uploads/")], [("include", "evidence", r"(?i)portfolio")],
+        [("exclude", "evidence", r"(?i)fortnightly|weekly|half[- ]?year|scheme[_ -]?dashboard|performance|proxy|sebi|ir[_ -]")]],
+    "ppfas": [
+        [WORKBOOK_ADDRESS], [("include", "evidence", r"(?i)monthly[\s_-]*portfolio|portfolio[\s_-]*report")],
+        [("exclude", "evidence", r"(?i)fortnightly|weekly")]],
+    "samco": [
+        [WORKBOOK_ADDRESS], [("include", "url", r"(?i)/amc-document-download/")], [("include", "url", r"(?i)monthly[_ -]?portfolio")],
+        [("exclude", "evidence", r"(?i)fortnightly|weekly|half[- ]?year")]],
+    "sbi": [[WORKBOOK_ADDRESS], [("exclude", "evidence", r"(?i)fortnightly|half[- ]?year")]],
+    "sundaram": [[WORKBOOK_ADDRESS], [("exclude", "evidence", r"(?i)fortnightly|adhoc")]],
+    "unifi": [
+        [WORKBOOK_ADDRESS], [("include", "name", r"(?i)^mp-"), ("include", "text", r"(?i)monthly-portfolio-disclosure")],
+        [("exclude", "evidence", r"(?i)notice|fortnightly|weekly|\.pdf(?:[?#]|$)")]],
+    "union": [[WORKBOOK_ADDRESS], [("exclude", "evidence", r"(?i)fortnightly|weekly|half[- ]?year")]],
+}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
@@ -84,15 +84,20 @@ def with_order(rows: DataFrame) -> DataFrame:
     return settle(placed.withColumn("port_date", month_end).select(*[f.name for f in HOLDINGS_RAW.fields]))
 
 
+def house_layouts(spark: SparkSession) -> DataFrame:
+    """(amc, layout) of the houses that are not generic."""
+    return spark.createDataFrame(sorted(fv.HOUSE_LAYOUTS.items()), "amc string, layout string")
+
+
 def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
                  overrides: DataFrame | None = None) -> DataFrame:
     """Cells of many houses and months -> holdings_raw, each house in its own layout.
 
     ``layouts`` is (amc, layout) with layout in generic, fixed, index, filename; a house that is
-    not listed is generic.
+    not listed is generic. The houses' own table is taken by default.
     """
     if layouts is None:
-        return with_order_and_clean(_generic(cells, overrides), overrides)
+        layouts = house_layouts(cells.sparkSession)
     tagged = cells.join(layouts, "amc", "left").withColumn("layout", F.coalesce("layout", F.lit("generic")))
 
     def part(name: str) -> DataFrame:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import html
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Mapping
+from functools import reduce
+from operator import and_, or_
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -177,22 +179,53 @@ def to_document(df: DataFrame, max_url_length: int | None = fv.MAX_URL_LENGTH) -
     return good, work.filter(bad).withColumn("reason", F.lit("not a document address"))
 
 
-def classify_listing(df: DataFrame, rules: DataFrame) -> DataFrame:
-    """Keep rows that pass their house's include / exclude rules.
+def rules_of(rules: DataFrame) -> dict[str, list[list[tuple[str, str, str]]]]:
+    """Clauses per house from rows (amc, action, field, pattern[, clause]); a row without clause stands alone.
 
-    ``rules``: (amc, action, field, pattern), field in url / name / text / evidence. Every include
-    rule must match and no exclude rule may. A house's rules travel as one small array.
+    Rules are settings, a handful of rows a house, and are read to the driver.
     """
-    work = df.withColumns({"name": base_name(F.col("url")), "evidence": F.concat_ws(" ", "text", "url")})
-    per_house = rules.groupBy("amc").agg(F.collect_list(F.struct("action", "field", "pattern")).alias("__rules"))
-
-    def hit(rule: Column) -> Column:
-        subject = (F.when(rule["field"] == "url", F.col("url")).when(rule["field"] == "name", F.col("name"))
-                   .when(rule["field"] == "text", F.col("text")).otherwise(F.col("evidence")))
-        return F.coalesce(F.regexp_like(subject, rule["pattern"]), F.lit(False))
-
-    keep = F.forall("__rules", lambda r: F.when(r["action"] == "include", hit(r)).otherwise(~hit(r)))
-    return work.join(per_house, "amc", "inner").filter(keep).drop("__rules", "name", "evidence")
+    clauses: dict[tuple, list] = {}
+    for at, r in enumerate(rules.collect()):
+        name = r["clause"] if "clause" in rules.columns else None
+        clauses.setdefault((r["amc"], ("row", at) if name is None else ("clause", name)), []).append((r["action"], r["field"], r["pattern"]))
+    out: dict[str, list] = {}
+    for (house, _), conditions in clauses.items():
+        out.setdefault(house, []).append(sorted(conditions))
+    return out
+
+
+def classify_listing(df: DataFrame, rules: DataFrame | Mapping[str, Iterable] | None = None) -> DataFrame:
+    """Keep rows that meet every clause of their house; houses without rules keep none.
+
+    ``rules``: house -> clauses, each a list of conditions (action, field, pattern) of which one must hold, or rows for
+    ``rules_of``; the rules of ``fixed_values.HOUSE_RULES`` by default. An include condition holds if the field shows
+    the pattern, an exclude condition if it does not; a null field shows nothing. All rules become one predicate whose
+    patterns are compiled once per task, so a listing is read once and never shuffled.
+    """
+    if rules is None:
+        rules = fv.HOUSE_RULES
+    elif isinstance(rules, DataFrame):
+        rules = rules_of(rules)
+    path = url_part(F.col("url"), 3)
+    subjects = F.struct("amc", "url", "text", base_name(F.col("url")).alias("name"), F.regexp_extract(path, r"([^/]*)/[^/]*$", 1).alias("folder"),
+                        F.concat_ws(" ", "text", "url").alias("evidence"))
+    houses: dict[tuple, list[str]] = {}
+    for house, clauses in rules.items():
+        houses.setdefault(tuple(sorted({tuple(clause) for clause in clauses})), []).append(house)
+
+    def verdict(row: Column) -> Column:
+        def holds(action: str, field: str, pattern: str) -> Column:
+            shown = F.coalesce(F.rlike(row[field], F.lit(pattern)), F.lit(False))
+            return shown if action == "include" else ~shown
+
+        keep = F.lit(False)
+        for clauses, named in houses.items():
+            every = reduce(and_, [reduce(or_, [holds(*c) for c in clause]) for clause in clauses])
+            keep = F.when(row["amc"].isin(named), every).otherwise(keep)
+        return keep
+
+    # through one-element arrays, so that the fields are made once a row and not once a condition
+    return df.filter(F.exists(F.array(subjects), verdict))
 
 
 def select_monthly(df: DataFrame, keys: tuple[str, ...] = ("amc", "period")) -> DataFrame:

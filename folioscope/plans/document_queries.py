@@ -316,6 +316,32 @@ def listing_classified(spark: SparkSession, sf: str) -> DataFrame:
     return L.classify_listing(docs.withColumns({"url": url, "text": text}), rules).select("doc_id", "amc")
 
 
+# Which of the eight listing shapes below each house publishes as monthly, read off the houses' rules by hand.
+HOUSE_SHAPES = {"capitalmind": "3", "dsp": "7", "helios": "46", "hsbc": "016", "motilal_oswal": "6", "nippon_india": "36",
+                "old_bridge": "7", "ppfas": "36", "samco": "6", "sbi": "01367", "unifi": "7", "union": "01367"}
+
+
+@query("house_rules", f"""
+SELECT doc_id, amc FROM (SELECT doc_id, list_extract({list(HOUSE_SHAPES)}, doc_id // 8 % 12 + 1) AS amc FROM documents)
+JOIN (VALUES {", ".join(map(str, HOUSE_SHAPES.items()))}) t(amc, shapes) USING (amc) WHERE contains(shapes, (doc_id % 8)::VARCHAR)""")
+def house_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """The houses' own rules over listings of eight shapes, one of each document."""
+    n = F.col("doc_id").cast("string")
+    shapes = [("/portfolios/documents-2024/fund-", ".xlsx", ""), ("/portfolios/fund-", ".xls", "Scheme file"), ("/portfolios/half-yearly-", ".xlsx", ""),
+              ("/files/Monthly_Portfolio_", ".xlsx", "Monthly Portfolio"), ("/fortnightly-debt-portfolio/monthly-portfolio-", ".xlsx", "Fortnightly"),
+              ("/files/month-end-", ".pdf", "monthly portfolio"), ("/amc-document-download/Monthly-Portfolio-", ".xlsx?x=1", "Month End Portfolio"),
+              ("/uploads/mp-", ".XLSX", "Portfolio details as on")]
+
+    def of_shape(values: list[Column]) -> Column:
+        return F.get(F.array(*values), (F.col("doc_id") % 8).cast("int"))
+
+    listed = table(spark, sf, "documents").select(
+        "doc_id", F.get(F.array(*[F.lit(h) for h in HOUSE_SHAPES]), (F.floor(F.col("doc_id") / 8) % 12).cast("int")).alias("amc"),
+        of_shape([F.concat(F.lit("https://x.example"), F.lit(head), n, F.lit(end)) for head, end, _ in shapes]).alias("url"),
+        of_shape([F.lit(text) for _, _, text in shapes]).alias("text"))
+    return L.classify_listing(listed).select("doc_id", "amc")
+
+
 @query("select_monthly", """
 WITH d AS (
   SELECT doc_id, source AS amc, (doc_id % 3)::VARCHAR AS period,

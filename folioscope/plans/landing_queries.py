@@ -131,29 +131,28 @@ def audit_units(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("parsed_month", """
-SELECT 'house_' || l_suppkey % 3 AS amc, CASE l_suppkey % 3
+SELECT CASE l_suppkey % 3 WHEN 0 THEN 'any_house' WHEN 1 THEN 'pgim' ELSE 'tata' END AS amc, CASE l_suppkey % 3
          WHEN 0 THEN CASE WHEN l_suppkey % 5 = 4 THEN 'S' || l_suppkey ELSE 'Scheme ' || l_suppkey || ' Fund' END
          WHEN 1 THEN 'Filed Fund ' || l_suppkey ELSE 'Indexed Fund ' || l_suppkey END AS scheme,
        count(*) AS holdings, round(sum(l_extendedprice), 2) AS value_total, 0 AS first_place
 FROM lineitem WHERE l_partkey % 3 <> 0 AND (l_suppkey % 3 <> 2 OR l_suppkey % 4 <> 0) GROUP BY 1, 2, l_suppkey""")
 def parsed_month(spark: SparkSession, sf: str) -> DataFrame:
-    """Three houses in three layouts: titles in the sheet, in the file name, in an index sheet that omits some.
+    """Three houses in the layouts shipped for them: titles in the sheet, in the file name, in an index sheet that omits some.
 
     Holdings with a code are compared; repeated labels without one go in the first layout only.
     """
     k = F.regexp_extract("sheet", r"^S(\d+)$", 1).cast("int")
     cells = printed_sheets(spark, sf).withColumn("k", k)
     cells = cells.withColumns({
-        "amc": F.concat(F.lit("house_"), F.col("k") % 3),
+        "amc": F.when(F.col("k") % 3 == 0, "any_house").when(F.col("k") % 3 == 1, "pgim").otherwise("tata"),
         "source_file": F.when(F.col("k") % 3 == 1, F.concat(F.lit("Filed Fund "), "k", F.lit(" May 2026.xlsx"))).otherwise(
             F.concat(F.lit("book "), "k", F.lit(".xlsx")))}).drop("k")
     index = suppliers(spark, sf).filter("l_suppkey % 3 = 2 AND l_suppkey % 4 <> 0").select(
-        F.lit("house_2").alias("amc"), F.lit("2026-05").alias("period"), F.concat(F.lit("book "), "l_suppkey", F.lit(".xlsx")).alias("source_file"),
+        F.lit("tata").alias("amc"), F.lit("2026-05").alias("period"), F.concat(F.lit("book "), "l_suppkey", F.lit(".xlsx")).alias("source_file"),
         F.lit("Index").alias("sheet"), F.lit(-1).alias("sheet_idx"), F.lit(0).alias("row_idx"),
         row_of(1.0, typed_cell(text=F.concat(F.lit("S"), "l_suppkey")), typed_cell(text=F.concat(F.lit("Indexed Fund "), "l_suppkey"))).cast(
             "array<struct<s:string,n:double>>").alias("cells"))
-    houses = spark.createDataFrame([("house_0", "generic"), ("house_1", "filename"), ("house_2", "index")], "amc string, layout string")
-    held = layouts.parse_period(cells.unionByName(index), houses)
+    held = layouts.parse_period(cells.unionByName(index))
     first = held.groupBy("amc").agg(F.min("ord").alias("lowest"))
     out = held.filter("isin IS NOT NULL").groupBy("amc", "scheme_name_raw", "source_file", "sheet").agg(
         F.count(F.lit(1)).alias("holdings"), F.round(F.sum(cell_number(F.col("market_value_raw"))), 2).alias("value_total"))

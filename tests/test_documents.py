@@ -91,3 +91,19 @@ def test_prefer_resolved_drops_settled_gaps(spark):
     out = D.prefer_resolved(rows, spark.createDataFrame([(1,), (3,)], "record_id long"))
     assert sorted(r.record_id for r in out["winners"].collect()) == [2, 3]
     assert [r.record_id for r in out["gaps"].collect()] == [3]
+
+
+def test_house_rules_need_every_clause_and_any_condition(spark):
+    from folioscope.operators.listing import classify_listing
+
+    rows = [("hsbc", "https://x/portfolios/a-fund.xlsx", None), ("hsbc", "https://x/portfolios/weekly-a.xlsx", None),
+            ("hsbc", "https://x/documents-1/weekly-a.xls", ""), ("hsbc", "https://x/other/a.xlsx", "Monthly-Portfolio"),
+            ("hsbc", "https://x/half-yearly-portfolios/monthly-portfolio.xlsx", ""), ("hsbc", None, "monthly-portfolio"),
+            ("unifi", "https://x/MP-1.xlsx?a", None), ("unifi", "https://x/1.xlsx", "monthly-portfolio-disclosure"), ("unifi", "https://x/mp-1.xlsx", "Notice"),
+            ("unknown", "https://x/1.xlsx", "monthly portfolio"), (None, "https://x/1.xlsx", "monthly portfolio")]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i int, amc string, url string, text string")
+    assert sorted(r.i for r in classify_listing(df).collect()) == [0, 2, 3, 6, 7]
+    rules = spark.createDataFrame([("unknown", "include", "text", "never", 1), ("unknown", "exclude", "name", "^2", 1), ("unknown", "include", "url", "x", None)],
+                                  "amc string, action string, field string, pattern string, clause int")
+    assert [r.i for r in classify_listing(df, rules).collect()] == [9]
+    assert "Exchange" not in classify_listing(df)._jdf.queryExecution().toString()
