@@ -19,6 +19,7 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 Names = Iterable[str]
 
@@ -113,11 +114,16 @@ def ordered_scan(
     lasts: Mapping[str, Column] | None = None,
     previous: Mapping[str, Column] | None = None,
     position: str | None = None,
+    bundle_bits: int = 12,
+    levels: int = 1,
 ) -> DataFrame:
     """Order-dependent columns without putting a group into one task.
 
     ``order`` must be unique within ``keys`` and ``block`` must never decrease along it;
-    the block bounds how many rows one task sorts together.
+    the block bounds how many rows one task sorts together. The summaries of the blocks are scanned in the same
+    way: a whole-numbered block goes into a bundle of at most 2**bundle_bits, bundles into bundles of bundles, for
+    ``levels`` levels, and only the last level's summaries of a key meet in one window. One level keeps that window
+    below 2**12 rows for 2**36 rows of a key in blocks of 2**12; blocks of other types are scanned in one window.
 
     sums      inclusive running sum (nulls count as 0)
     lasts     last non-null value up to and including the row
@@ -152,16 +158,9 @@ def ordered_scan(
         parts.append(F.max_by(expr, place).alias(f"__scan_p_{name}"))
     blocks = work.groupBy(*keys, "__scan_block").agg(*parts)
 
-    between = Window.partitionBy(*keys).orderBy("__scan_block")
-    before = between.rowsBetween(Window.unboundedPreceding, -1)
-    carried = [*keys, "__scan_block"]
-    for name in sums:
-        carried.append(F.coalesce(F.sum(f"__scan_s_{name}").over(before), F.lit(0)).alias(f"__scan_c_s_{name}"))
-    for name in lasts:
-        carried.append(F.last(f"__scan_l_{name}", ignorenulls=True).over(before)["__v"].alias(f"__scan_c_l_{name}"))
-    for name in previous:
-        carried.append(F.lag(f"__scan_p_{name}").over(between).alias(f"__scan_c_p_{name}"))
-    joined = null_safe_join(rows, blocks.select(*carried), [*keys, "__scan_block"], "left")
+    whole = isinstance(blocks.schema["__scan_block"].dataType, T.IntegralType)
+    carried = _carried_in(blocks, keys, "__scan_block", sums, lasts, previous, bundle_bits, levels if whole else 0)
+    joined = null_safe_join(rows, carried, [*keys, "__scan_block"], "left")
 
     out = {}
     for name in sums:
@@ -176,6 +175,45 @@ def ordered_scan(
     return joined.withColumns(out).drop(*scratch)
 
 
+def _carried_in(parts: DataFrame, keys: list[str], place: str, sums: Names, lasts: Names, previous: Names,
+                bits: int, levels: int) -> DataFrame:
+    """What the parts of a key before each part (in the order of ``place``) hand on to it: keys, place, ``__scan_c_*``.
+
+    With levels left, parts are scanned inside bundles of places, and each bundle takes what the bundles before it
+    hand on. ``__scan_p_*`` of a part is its last row's value, which may be null, so a bundle's first part is marked.
+    """
+    bundle = f"{place}_"
+    if levels:
+        parts = parts.withColumn(bundle, F.shiftright(F.col(place).cast("long"), bits))
+    group = [*keys, bundle] if levels else keys
+    between = Window.partitionBy(*group).orderBy(place)
+    before = between.rowsBetween(Window.unboundedPreceding, -1)
+    handed = {}
+    for name in sums:
+        handed[f"__scan_c_s_{name}"] = F.coalesce(F.sum(f"__scan_s_{name}").over(before), F.lit(0))
+    for name in lasts:
+        handed[f"__scan_c_l_{name}"] = F.last(f"__scan_l_{name}", ignorenulls=True).over(before)["__v"]
+    for name in previous:
+        handed[f"__scan_c_p_{name}"] = F.lag(f"__scan_p_{name}").over(between)
+    if not levels:
+        return parts.select(*keys, place, *[expr.alias(name) for name, expr in handed.items()])
+    inside = parts.select(*group, place, (F.row_number().over(between) == 1).alias("__scan_first"),
+                          *[expr.alias(name) for name, expr in handed.items()])
+    merged = [F.sum(f"__scan_s_{name}").alias(f"__scan_s_{name}") for name in sums]
+    merged += [F.max(f"__scan_l_{name}").alias(f"__scan_l_{name}") for name in lasts]
+    merged += [F.max_by(F.struct(f"__scan_p_{name}"), place)[f"__scan_p_{name}"].alias(f"__scan_p_{name}") for name in previous]
+    outer = _carried_in(parts.groupBy(*group).agg(*merged), keys, bundle, sums, lasts, previous, bits, levels - 1)
+    outer = outer.select(*group, *[F.col(c).alias(f"{c}_out") for c in handed])
+    both = null_safe_join(inside, outer, group, "left")
+    own, out = [F.col(c) for c in handed], [F.col(f"{c}_out") for c in handed]
+    joined = []
+    for name, a, b in zip(handed, own, out):
+        value = a + b if name.startswith("__scan_c_s_") else F.coalesce(a, b) if name.startswith("__scan_c_l_") else F.when(
+            F.col("__scan_first"), b).otherwise(a)
+        joined.append(value.alias(name))
+    return both.select(*keys, place, *joined)
+
+
 def levels_for(max_position: int, block_bits: int = 12, fan_bits: int = 12) -> int:
     """How many array levels a group of this many positions needs."""
     levels = 1

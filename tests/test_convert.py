@@ -1,3 +1,5 @@
+import re
+
 from pyspark.sql import functions as F
 
 from folioscope.contracts import FINAL_FIELDS, LOOKUPS
@@ -150,8 +152,6 @@ def test_ordered_scan_matches_plain_loops(spark):
     rnd = random.Random(3)
     rows = [(k, i * 3 + 1, rnd.choice([None, "x", "y"]), rnd.randint(-5, 9)) for k in "ab" for i in range(300)]
     df = spark.createDataFrame(rows, "k string, ord long, tag string, v long").repartition(4)
-    got = ordered_scan(df, ["k"], ["ord"], F.shiftright("ord", 4), sums={"run": F.col("v")},
-                       lasts={"seen": F.col("tag")}, previous={"before": F.col("v")}, position="pos")
     state = {}
     expected = {}
     for k, o, tag, v in rows:
@@ -159,4 +159,33 @@ def test_ordered_scan_matches_plain_loops(spark):
         run, seen, pos = run + v, tag or seen, pos + 1
         expected[(k, o)] = (run, seen, before, pos)
         state[k] = (run, seen, v, pos)
-    assert {(r.k, r.ord): (r.run, r.seen, r.before, r.pos) for r in got.collect()} == expected
+    for levels in (0, 1, 3):  # blocks of 6 rows, bundles of 4 blocks: with three levels no window sees more than a few summaries
+        got = ordered_scan(df, ["k"], ["ord"], F.shiftright("ord", 4), sums={"run": F.col("v")}, lasts={"seen": F.col("tag")},
+                           previous={"before": F.col("v")}, position="pos", bundle_bits=2, levels=levels)
+        assert {(r.k, r.ord): (r.run, r.seen, r.before, r.pos) for r in got.collect()} == expected
+
+
+def test_ordered_scan_of_negative_blocks_null_values_and_null_keys(spark):
+    """A previous value may be null at the end of a block or bundle; a null key is a key."""
+    from folioscope.scale import ordered_scan
+
+    rows = [(k, i, None if i % 3 == 0 else i) for k in ("a", None) for i in range(-70, 70)]
+    df = spark.createDataFrame(rows, "k string, ord long, v long").repartition(3)
+    got = ordered_scan(df, ["k"], ["ord"], F.shiftright("ord", 1), sums={"run": F.col("v")}, previous={"before": F.col("v")},
+                       bundle_bits=1, levels=4).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.before == (None if r.ord == -70 or (r.ord - 1) % 3 == 0 else r.ord - 1)
+        assert r.run == sum(i for i in range(-70, r.ord + 1) if i % 3)
+
+
+def test_no_window_of_ordered_scan_sees_all_blocks_of_a_hot_key(spark):
+    """A thousand blocks in bundles of eight, these in bundles of eight: the one window by key alone is over 16 rows."""
+    from folioscope.scale import _carried_in
+
+    blocks = spark.range(1000).selectExpr("concat('hot', id % 1) AS k", "id AS b", "1L AS __scan_s_n")
+    seen = _carried_in(blocks, ["k"], "b", ["n"], [], [], 3, 2)
+    assert {r.b: r["__scan_c_s_n"] for r in seen.collect()} == {b: b for b in range(1000)}
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    by = re.findall(r"Window \[.*\], \[([^\[\]]*)\], \[(b_*)#", plan)
+    assert sorted((keys.count("#"), place) for keys, place in by) == [(1, "b__"), (2, "b"), (2, "b_")]
