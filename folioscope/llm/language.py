@@ -30,6 +30,7 @@ from folioscope.llm.words import Texts, mixed
 from folioscope.scale import first_rows
 
 SAMPLE_ROWS = 1200
+PART_ROWS = 1000  # rows per group that Spark cuts in the map tasks by default
 FAMILY_ROWS = 4800
 FEATURES = 2048
 SLICE_BYTES = 2 << 20
@@ -190,10 +191,25 @@ def _pairs(family: dict[str, int]) -> list[tuple[str, str]]:
     return [(a, b) for a, b in combinations(sorted(family), 2) if family[a] == family[b]]
 
 
+def lowest_ids(named: DataFrame, sample_rows: int) -> DataFrame:
+    """(doc_id, lang): the ids of lowest hash of each language, at most ``sample_rows``.
+
+    A language may hold most rows. Its ids are first cut inside parts, by another hash and below the size up to which
+    Spark cuts in the map tasks, so only a few thousand of them meet to be ranked. A part holds more than its share of the
+    lowest ids twice over with no chance worth naming.
+    """
+    order = [F.xxhash64("doc_id"), F.asc("doc_id")]
+    parts = max(1, -(-sample_rows * 2 // PART_ROWS))
+    ids = named.select("doc_id", "lang").distinct().withColumn("part", F.crc32(F.col("doc_id").cast("string")) % parts)
+    if parts > 1:
+        ids = first_rows(ids, ["lang", "part"], order, PART_ROWS)
+    return first_rows(ids, ["lang"], order, sample_rows).select("doc_id", "lang")
+
+
 def learn(teachers: DataFrame, *, sample_rows: int = SAMPLE_ROWS, family_rows: int = FAMILY_ROWS, features: int = FEATURES) -> Machines | None:
     """Machines from (doc_id, text, lang) rows; None if no text with letters has a language."""
     named = teachers.filter("lang IS NOT NULL AND text IS NOT NULL AND doc_id IS NOT NULL")
-    lowest = stage(first_rows(named.select("doc_id", "lang").distinct(), ["lang"], [F.xxhash64("doc_id"), F.asc("doc_id")], sample_rows), "language-sample")
+    lowest = stage(lowest_ids(named, sample_rows), "language-sample")
     sample = named.join(lowest, ["doc_id", "lang"], "left_semi").select("lang", "text", F.xxhash64("doc_id").alias("place"))
     sample = stage(sample.mapInArrow(_sampled(features), "lang string, place long, profile binary"), "language-profiles")
     sums = sample.mapInPandas(_centroids, "lang string, n long, total binary").toPandas()  # one row per batch of the bounded sample and language

@@ -94,3 +94,19 @@ def test_scores_equal_the_stated_formula(documents, prose):
 
 def test_scores_of_an_empty_table(documents):
     assert backoff_scores(documents([])).collect() == []
+
+
+def test_the_sample_of_a_hot_language_is_cut_in_the_map_tasks(spark):
+    from pyspark.sql import functions as F
+
+    from folioscope.llm.language import PART_ROWS, SAMPLE_ROWS, lowest_ids
+
+    docs = spark.range(30000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 100 == 7, "rare").otherwise("hot").alias("lang"))
+    docs = docs.unionByName(docs.filter("doc_id % 3 = 0"))  # repeated rows
+    assert SAMPLE_ROWS > PART_ROWS  # else one cut would do
+    got = lowest_ids(docs, SAMPLE_ROWS)
+    rows = [(r.lang, r.h, r.doc_id) for r in docs.distinct().select("*", F.xxhash64("doc_id").alias("h")).collect()]
+    for lang in ("hot", "rare"):
+        wanted = [i for _, _, i in sorted(r for r in rows if r[0] == lang)][:SAMPLE_ROWS]
+        assert sorted(r.doc_id for r in got.filter(F.col("lang") == lang).collect()) == sorted(wanted)
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString()
