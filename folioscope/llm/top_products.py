@@ -3,10 +3,10 @@
 Vectors are grouped by length: a bucket holds vectors whose norms differ by at most five per cent, dealt by hash
 into parts of ``bucket_rows``. Each query has a lower bound of its k-th best score, taken from the ``seed_rows``
 longest vectors. Against a bucket of greatest norm l the bound becomes a local cosine threshold,
-bound / (|query| l): above 1 the bucket is skipped, and blocks of queries that all skip a bucket are never sent
-there. Otherwise, following LEMP (Teflioudi et al., 2015), a high threshold prunes by coordinates (the entries of
-a candidate at the query's largest coordinates must lie in the region that the threshold leaves), a
-low one by length alone. What is left is verified as an integer product, and the best k of each part are merged.
+bound / (|query| l): above 1 the bucket is skipped. Queries are put in order of the norm they need and cut into
+blocks, and a candidate is sent only to the blocks with a query that needs no more than its norm. Within a bucket,
+following LEMP (Teflioudi et al., 2015), a high threshold prunes by coordinates (the entries of a candidate at the
+query's largest coordinates must lie in the region that the threshold leaves), a low one by length alone. What is left is verified as an integer product, and the best k of each part are merged.
 
 The bounds only save work: every vector that can be among the best k of a query is verified, whatever the
 distribution of norms. Queries and candidates meet in blocks of bounded size.
@@ -35,6 +35,7 @@ SEED_ROWS = 4096
 COORDINATES = 3  # of the query, the largest
 COORDINATE_FROM = 0.3  # local cosine threshold from which coordinates prune better than length
 SCORE_ROWS = 64  # queries scored at once
+SLACK = 1e-9  # of norms and bounds, which are doubles
 
 
 def quantized(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -57,15 +58,15 @@ def _matrix(rows, width: int = 0) -> np.ndarray:
     return out
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact products of rows of a and b, as int64."""
-    high = float(np.abs(a.astype(np.float64)).max(initial=0)) * float(np.abs(b.astype(np.float64)).max(initial=0)) * max(a.shape[1], 1)
+def _scorer(a: np.ndarray, b: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """Exact products of chosen rows of a and b, as int64; the kind of numbers is settled once for all of them."""
+    high = float(np.abs(a).max(initial=0)) * float(np.abs(b).max(initial=0)) * max(a.shape[1], 1)
     if high < 2.0**53:
-        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+        left, right = a.astype(np.float64), b.astype(np.float64)
+        return lambda i, j: (left[i] @ right[j].T).astype(np.int64)
     if high < 2.0**62:
-        return a @ b.T
-    whole = a.astype(object) @ b.astype(object).T
-    return np.clip(whole, -(2**63), 2**63 - 1).astype(np.int64)
+        return lambda i, j: a[i] @ b[j].T
+    return lambda i, j: np.clip(a[i].astype(object) @ b[j].astype(object).T, -(2**63), 2**63 - 1).astype(np.int64)
 
 
 def _alike(a, b) -> tuple[np.ndarray, np.ndarray]:
@@ -78,12 +79,13 @@ def _bounds(seed_ids: np.ndarray, seed: list, k: int):
 
     def run(frames):
         for frame in frames:
-            out = []
+            out, ids = [], frame["id"].to_numpy()
+            score, every = _scorer(*_alike(frame["ints"], seed)), np.arange(len(seed))
             for first in range(0, len(frame), SCORE_ROWS):
-                part = frame.iloc[first : first + SCORE_ROWS]
-                scores = _products(*_alike(part["ints"], seed)).astype(np.float64)
-                scores[part["id"].to_numpy()[:, None] == seed_ids[None, :]] = -np.inf
-                best = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(part), -np.inf)
+                mine = np.arange(first, min(first + SCORE_ROWS, len(frame)))
+                scores = score(mine, every).astype(np.float64)
+                scores[ids[mine][:, None] == seed_ids[None, :]] = -np.inf
+                best = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] >= k else np.full(len(mine), -np.inf)
                 out.append(best)
             yield frame.assign(bound=np.concatenate(out) if out else [])
 
@@ -94,7 +96,7 @@ def _survivors(query, norm, bound, unit, norms, focus_limit):
     """Candidates (sorted by falling norm) that a query must be verified against."""
     if not np.isfinite(bound) or bound <= 0 or norm == 0:
         return np.arange(len(norms))
-    slack = 1e-9
+    slack = SLACK
     local = bound / (norm * norms[0]) - slack if norms[0] > 0 else np.inf
     if local > 1:
         return np.zeros(0, np.int64)
@@ -120,23 +122,39 @@ def _best_of_part(k: int, focus_limit: float):
         q, p = _alike(queries["ints"], part["ints"])
         ids, norms = part["id"].to_numpy(), part["norm"].to_numpy()
         unit = p / np.where(norms > 0, norms, 1.0)[:, None]
+        score, wants = _scorer(q, p), list(zip(queries["id"], queries["norm"], queries["bound"]))
         found = []
-        for i, (own, norm, bound) in enumerate(zip(queries["id"], queries["norm"], queries["bound"])):
-            at = _survivors(q[i], norm, bound, unit, norms, focus_limit)
-            at = at[ids[at] != own]
-            if not len(at):
+        for first in range(0, len(wants), SCORE_ROWS):
+            kept = [_survivors(q[i], wants[i][1], wants[i][2], unit, norms, focus_limit) for i in range(first, min(first + SCORE_ROWS, len(wants)))]
+            rows = np.unique(np.concatenate(kept))
+            if not len(rows):
                 continue
-            scores = _products(q[i : i + 1], p[at])[0]
-            enough = scores >= bound
-            at, scores = at[enough], scores[enough]
-            best = np.lexsort((ids[at], -scores.astype(np.float64) if np.abs(scores).max(initial=0) < 2**53 else [-int(s) for s in scores]))[:k]
-            found.append(np.stack([np.full(len(best), own), ids[at][best], scores[best]], axis=1))
+            block = score(np.arange(first, first + len(kept)), rows)  # one product for all queries of the chunk
+            for n, (at, (own, _, bound)) in enumerate(zip(kept, wants[first:])):
+                scores = block[n, np.searchsorted(rows, at)]
+                enough = (ids[at] != own) & (scores >= bound)
+                at, scores = at[enough], scores[enough]
+                if not len(at):
+                    continue
+                best = np.lexsort((ids[at], -scores.astype(np.float64) if np.abs(scores).max() < 2**53 else [-int(s) for s in scores]))[:k]
+                found.append(np.stack([np.full(len(best), own), ids[at][best], scores[best]], axis=1))
         rows = np.concatenate(found) if found else np.zeros((0, 3), np.int64)
         return pd.DataFrame({"query_id": rows[:, 0], "vec_id": rows[:, 1], "score": rows[:, 2]})
 
     return run
 
 
+def wanted_copies(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """A candidate once for each block of queries that can use a vector of its class and norm.
+
+    ``wanted``: (block, length, least), the least norm that a query of the block needs. Blocks hold queries of like
+    needs, so short vectors go to few of them.
+    """
+    dealt = wanted.select(F.col("block").alias("block"), "length", "least")  # a column of its own, beside that of the queries
+    return rows.join(dealt, "length").filter(F.col("norm") * (1 + SLACK) >= F.col("least")).select(
+        "id", "ints", "norm", F.col("length").alias("length"), "part", "block")
+
+
 def top_products(vectors: DataFrame, is_query: Callable[[Column], Column], id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 10,
                  bucket_rows: int = BUCKET_ROWS, block_queries: int = BLOCK_QUERIES, seed_rows: int = SEED_ROWS,
                  coordinate_from: float = COORDINATE_FROM) -> DataFrame:
@@ -153,20 +171,20 @@ def top_products(vectors: DataFrame, is_query: Callable[[Column], Column], id_co
     asked = rows.filter(is_query(F.col("id"))).groupBy("id").agg(F.min(F.struct("ints", "norm")).alias("v")).select("id", "v.*")
     asked = asked.mapInPandas(bounds, "id long, ints array<long>, norm double, bound double")
     asked = stage(asked, "queries-with-bounds")
+    need = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm")).otherwise(0.0)
     blocks = max(1, -(-asked.count() // block_queries))
+    asked = asked.withColumn("need", need).repartitionByRange(blocks, "need", "id").withColumn("block", F.spark_partition_id())
+    asked = stage(asked, "query-blocks")
 
-    # a block is sent to the buckets that at least one of its queries cannot skip
-    block = F.pmod(F.xxhash64("id"), F.lit(blocks))
-    need = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm")).otherwise(0.0)
     known = F.array(*[F.struct(F.lit(c["length"]).cast("int").alias("length"), F.lit(parts[c["length"]]).cast("int").alias("parts"),
                                F.lit(c["norm"]).cast("double").alias("top")) for c in classes or [{"length": -1, "norm": 0.0}]])
-    asked = asked.withColumns({"block": block, "need": need})
-    sent = asked.withColumn("class", F.explode(F.filter(known, lambda b: b["top"] * (1 + 1e-9) >= F.col("need")))).select(
+    reached = F.explode(F.filter(known, lambda b: b["top"] * (1 + SLACK) >= F.col("need"))).alias("class")
+    sent = asked.select("id", "ints", "norm", "bound", "block", reached).select(
         "id", "ints", "norm", "bound", "block", "class.length",
         F.explode(F.sequence(F.lit(0), F.col("class.parts") - 1)).alias("part"))
-    part = F.pmod(F.xxhash64("id"), _per_class(parts))
-    copies = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long")))
-    held = rows.withColumns({"part": part.cast("int")}).select("id", "ints", "norm", "length", "part", copies.alias("block"))
+    wanted = asked.groupBy("block").agg(F.min("need").alias("need")).select("block", "need", reached).select(
+        "block", F.col("need").alias("least"), F.col("class.length").alias("length"))
+    held = wanted_copies(rows.withColumn("part", F.pmod(F.xxhash64("id"), _per_class(parts)).cast("int")), wanted)
     keys = ["length", "part", "block"]
     best = sent.groupBy(*keys).cogroup(held.groupBy(*keys)).applyInPandas(
         _best_of_part(k, coordinate_from), "query_id long, vec_id long, score long")

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from brute import components_of
-from folioscope.llm.top_products import top_products
+from folioscope.llm.top_products import top_products, wanted_copies
 from folioscope.llm.vector_dedup import near_vectors
 
 SCHEMA = "vec_id long, embedding array<double>, label int, ints string, norm int, size int, side int, n long"
@@ -51,6 +51,24 @@ def test_top_products_equal_all_products(spark, options, spread):
     assert sorted(map(tuple, got)) == best_products(rows, 10, 10)
 
 
+def test_candidates_go_only_where_they_are_needed(spark):
+    """Nine of ten vectors are short; blocks whose queries all need longer ones do not get them."""
+    rows = [(i, [float(i % 7 + 1), 1.0] if i % 10 == 0 else [0.01 * (i % 3), 0.02], 0) for i in range(400)]
+    sent = []
+
+    def counting(held, wanted):
+        out = wanted_copies(held, wanted)
+        sent.append((held.count(), wanted.select("block").distinct().count(), out.count(), out.groupBy("id", "block").count().filter("count > 1").count()))
+        return out
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr("folioscope.llm.top_products.wanted_copies", counting)
+        got = top_products(frame(spark, rows), lambda i: i % 10 == 0, block_queries=8).collect()
+    assert sorted(map(tuple, got)) == best_products(rows, 10, 10)
+    held, blocks, copies, twice = sent[0]
+    assert blocks > 1 and twice == 0 and copies < held * blocks / 4
+
+
 def test_top_products_edges(spark):
     rows = [(0, [1.0, 2.0], 0), (0, [1.0, 2.0], 0), (10, None, 0), (20, [1.0, None], 0), (30, [NAN, 1.0], 0), (40, [INF, 1.0], 0),
             (50, [], 0), (3, [], 1), (4, [0.0, 0.0], 1), (5, [-1.0, -1.0], None), (6, [1.0], 1), (7, [1.0, 2.0, 3.0], 1), (None, [9.0, 9.0], 1),
