@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from folioscope.llm.jaccard_join import jaccard_join
 from folioscope.llm.language import identify
-from folioscope.llm.line_dedup import MIN_PAGES, RATIO, drop_boilerplate
+from folioscope.llm.line_dedup import LOW_PAGES, LOW_RATIO, MIN_PAGES, RATIO, drop_boilerplate
 from folioscope.llm.lm_scores import ALPHA, MIN_COUNT, backoff_scores
 from folioscope.llm.mixing import BLOCK_WORDS, MAX_REPEATS, SEED, SHARD_WORDS, mix_sources
 from folioscope.llm.packing import pack
@@ -24,7 +24,7 @@ keyed AS (SELECT DISTINCT page, source, rtrim(unnest(lines), ' ' || chr(9) || ch
 frequent AS (
   SELECT k.source, list(line) AS drops FROM (
     SELECT source, line, count(*) AS k FROM keyed WHERE line <> '' GROUP BY source, line) k
-  JOIN totals t ON t.source = k.source AND k.k > {RATIO} * t.n GROUP BY k.source),
+  JOIN totals t ON t.source = k.source AND k.k > CASE WHEN k.k >= {LOW_PAGES} THEN {LOW_RATIO} ELSE {RATIO} END * t.n GROUP BY k.source),
 kept AS (
   SELECT p.*, CASE WHEN f.drops IS NULL THEN lines
               ELSE list_filter(lines, lambda x: NOT list_contains(f.drops, rtrim(x, ' ' || chr(9) || chr(13)))) END AS rest
@@ -33,8 +33,8 @@ SELECT doc_id, source, coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) -
        CASE WHEN len(lines) = len(rest) OR text IS NULL THEN text ELSE array_to_string(rest, chr(10)) END AS text
 FROM kept""")
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as the pages of their source, without its boilerplate lines."""
-    return drop_boilerplate(table(spark, sf_dir, "documents")).select("doc_id", "source", "n_lines", "n_dropped", "text")
+    """Documents as the pages of their source, without lines above a tenth of them, or above a hundredth and on five pages."""
+    return drop_boilerplate(table(spark, sf_dir, "documents"), low_ratio=LOW_RATIO).select("doc_id", "source", "n_lines", "n_dropped", "text")
 
 
 @query("op4_mixing", f"""
