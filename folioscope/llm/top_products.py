@@ -155,6 +155,14 @@ def wanted_copies(rows: DataFrame, wanted: DataFrame) -> DataFrame:
         "id", "ints", "norm", F.col("length").alias("length"), "part", "block")
 
 
+def _blocked(asked: DataFrame, block_queries: int) -> DataFrame:
+    """Adds ``block``: consecutive ranges of queries put together, so that blocks do not depend on how many partitions held them."""
+    before = F.sum("n").over(Window.orderBy("range")) - F.col("n")  # one row per range
+    ranges = asked.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("range").alias("at"), F.floor(before / block_queries).cast("int").alias("block"))
+    return asked.join(ranges, F.col("range") == F.col("at")).drop("range", "at")
+
+
 def top_products(vectors: DataFrame, is_query: Callable[[Column], Column], id_col: str = "vec_id", vector_col: str = "embedding", *, k: int = 10,
                  bucket_rows: int = BUCKET_ROWS, block_queries: int = BLOCK_QUERIES, seed_rows: int = SEED_ROWS,
                  coordinate_from: float = COORDINATE_FROM) -> DataFrame:
@@ -173,8 +181,8 @@ def top_products(vectors: DataFrame, is_query: Callable[[Column], Column], id_co
     asked = stage(asked, "queries-with-bounds")
     need = F.when((F.col("bound") > 0) & (F.col("norm") > 0), F.col("bound") / F.col("norm")).otherwise(0.0)
     blocks = max(1, -(-asked.count() // block_queries))
-    asked = asked.withColumn("need", need).repartitionByRange(blocks, "need", "id").withColumn("block", F.spark_partition_id())
-    asked = stage(asked, "query-blocks")
+    asked = asked.withColumn("need", need).repartitionByRange(blocks, "need", "id").withColumn("range", F.spark_partition_id())
+    asked = _blocked(stage(asked, "query-ranges"), block_queries)
 
     known = F.array(*[F.struct(F.lit(c["length"]).cast("int").alias("length"), F.lit(parts[c["length"]]).cast("int").alias("parts"),
                                F.lit(c["norm"]).cast("double").alias("top")) for c in classes or [{"length": -1, "norm": 0.0}]])
