@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioscope.contracts import LEDGER_FIELDS
+from folioscope.contracts import FINAL_FIELDS, HOLDINGS_RAW, LEDGER_FIELDS, UNRESOLVED_FIELDS
 from folioscope.functions.text import cell_number, typed_cell
 from folioscope.operators import completeness as V
 from folioscope.operators import coverage as A
@@ -231,3 +231,57 @@ def repeated_lookup_lines(spark: SparkSession, sf: str) -> DataFrame:
     return classify_isin(rows, lookup).groupBy("l_suppkey").agg(
         F.count(F.lit(1)).alias("lines"), F.sum(F.when(F.col("type_instrument") == "Second", 1).otherwise(0)).alias("second_type"),
         F.count("type_instrument").alias("typed"))
+
+
+def _sink_sql(sink: str, wanted: str, text: str) -> str:
+    return f"""SELECT '{sink}' AS sink, amc, period, count(*) AS rows_, sum(('0x' || substr(md5({text}), 1, 8))::BIGINT)::BIGINT AS digest
+FROM l WHERE {wanted} GROUP BY amc, period"""
+
+
+@query("holdings_sinks", f"""
+WITH raw AS (SELECT *, 'h' || l_suppkey % 3 AS amc, '2026-0' || l_linenumber AS period, l_orderkey || '-' || l_linenumber AS name FROM lineitem),
+l AS (SELECT *, CASE WHEN amc = 'h0' AND period = '2026-01' THEN 'Q' ELSE 'P' END || l_partkey AS code, l_quantity::BIGINT AS n FROM raw)
+{_sink_sql("intermediate", "true", "name || '|' || code || '|' || n")}
+UNION ALL {_sink_sql("final", "true", "name || '|' || code || '|' || CASE WHEN l_linenumber % 2 = 0 THEN '' ELSE n::VARCHAR END")}
+UNION ALL {_sink_sql("final_csv", "true", "name || '|' || code || '|' || CASE WHEN l_linenumber % 2 = 0 THEN 'NULL' ELSE n::VARCHAR END")}
+UNION ALL {_sink_sql("unresolved", "l_partkey % 5 = 0", "name || '|' || code || '|' || 'no code'")}""")
+def holdings_sinks(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw, final and unresolved holdings written by house and month, one month of one house written again, values read back."""
+    folder = f"{shared_folder(spark)}/holdings-sinks-{uuid.uuid4().hex}"
+    names = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    lines = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("h"), (F.col("l_suppkey") % 3).cast("string")).alias("amc"), F.concat(F.lit("2026-0"), F.col("l_linenumber").cast("string")).alias("period"),
+        names.alias("security_name"), F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("isin"),
+        F.col("l_quantity").cast("double").alias("n"), "l_linenumber", "l_partkey")
+    again = lines.filter("amc = 'h0' AND period = '2026-01'").withColumn("isin", F.concat(F.lit("Q"), F.col("l_partkey").cast("string")))
+
+    def as_contract(df: DataFrame, filled: dict, schema) -> DataFrame:
+        empty = {f.name: F.lit(None).cast(f.dataType) for f in schema}
+        return df.select(*[filled.get(c, x).alias(c) for c, x in empty.items()])
+
+    for rows in (lines, again):
+        cell = F.struct(F.lit(None).cast("string").alias("s"), F.col("n").alias("n"))
+        known = {c: F.col(c) for c in ("amc", "period", "security_name", "isin")}
+        raw = as_contract(rows, known | {"quantity": cell}, HOLDINGS_RAW.fields)
+        S.write_intermediate(raw, f"{folder}/raw")
+        shares = F.when(F.col("l_linenumber") % 2 == 1, F.col("n"))
+        final = rows.select("amc", "period", *[
+            {"ISIN": F.col("isin"), "Security_Name": F.col("security_name"), "No_Of_Shares": shares}.get(c, F.lit(None).cast("string")).alias(c)
+            for c in FINAL_FIELDS])
+        S.write_final(final, f"{folder}/final")
+        S.write_final(final, f"{folder}/final_csv", fmt="csv")
+        S.write_unresolved(rows.filter("l_partkey % 5 = 0").select("period", *[
+            {"reason": F.lit("no code"), "amc": F.col("amc"), "security_name": F.col("security_name"), "isin": F.col("isin")}.get(
+                c, F.lit(None).cast("string")).alias(c) for c in UNRESOLVED_FIELDS]), f"{folder}/unresolved")
+
+    def told(sink: str, df: DataFrame, name: str, code: str, last: Column) -> DataFrame:
+        digest = F.conv(F.substring(F.md5(F.concat_ws("|", name, code, last)), 1, 8), 16, 10).cast("bigint")
+        return df.groupBy(F.lit(sink).alias("sink"), F.col("amc").cast("string").alias("amc"), F.col("period").cast("string").alias("period")).agg(
+            F.count(F.lit(1)).alias("rows_"), F.sum(digest).alias("digest"))
+
+    whole = F.coalesce(F.col("No_Of_Shares").try_cast("double").cast("bigint").cast("string"), F.col("No_Of_Shares").cast("string"), F.lit(""))
+    csv = spark.read.option("header", "true").csv(f"{folder}/final_csv")
+    return told("intermediate", S.read_intermediate(spark, f"{folder}/raw"), "security_name", "isin", F.col("quantity.n").cast("bigint").cast("string")).unionByName(
+        told("final", spark.read.parquet(f"{folder}/final"), "Security_Name", "ISIN", whole)).unionByName(
+        told("final_csv", csv, "Security_Name", "ISIN", whole)).unionByName(
+        told("unresolved", spark.read.parquet(f"{folder}/unresolved"), "security_name", "isin", F.col("reason")))
