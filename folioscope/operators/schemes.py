@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections import defaultdict
 from difflib import SequenceMatcher
+from itertools import repeat
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +15,8 @@ from pyspark.sql import types as T
 
 from folioscope import fixed_values as fv
 from folioscope.functions.names import base_scheme_name, house_key, is_regular_growth, is_single_class, scheme_key
-from folioscope.scale import contained_pairs, first_rows, grid
+from folioscope.functions.similarity import Bounds
+from folioscope.scale import contained_pairs, exploded, first_rows, grid, settle
 
 
 # --- houses ------------------------------------------------------------------------------
@@ -62,43 +66,76 @@ BEST = T.StructType([
 ])
 
 
+GROUPS = 1024  # of numbers, whose names meet in one task
+FEW = 8
+
+
 def _tile_best(names: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
-    """Best candidate of one tile per name; cheap upper bounds skip most full comparisons."""
-    targets = [(t, set(re.findall(r"\d+", t))) for t in names["target"]]
-    best = [(0.0, None)] * len(targets)
-    matcher = SequenceMatcher(None)
-    for cand in cands.sort_values("ordinal").itertuples(index=False):
-        numbers = set(re.findall(r"\d+", cand.base_norm))
-        matcher.set_seq2(cand.base_norm)
-        for i, (target, wanted) in enumerate(targets):
-            if not wanted <= numbers:
-                continue
-            top = best[i][0]
-            inside = target in cand.base_norm or cand.base_norm in target
-            matcher.set_seq1(target)
-            score = fv.CONTAINMENT_SCORE if inside else 0.0
-            if max(matcher.real_quick_ratio(), score) > top and max(matcher.quick_ratio(), score) > top:
-                score = max(score, matcher.ratio())
-                if score > top:
-                    best[i] = (score, cand)
-    house = names["house"].iloc[0] if len(names) else None
-    rows = [(house, t, b.amfi_code, b.fund_name, b.ordinal, s) for (t, _), (s, b) in zip(targets, best) if b is not None]
+    """Best candidate per name among those with its house and number."""
+    rows: list[tuple] = []
+    sides: dict = defaultdict(list)
+    for cand in cands.sort_values("ordinal", kind="stable").itertuples(index=False):
+        sides[cand.house, cand.number].append(cand)
+    wanted: dict = defaultdict(list)
+    for house, number, target in zip(names["house"], names["number"], names["target"]):
+        wanted[house, number].append(target)
+    for key, targets in wanted.items():
+        if key in sides:
+            rows += _best_of(key[0], targets, sides[key])
     return pd.DataFrame(rows, columns=[f.name for f in BEST.fields])
 
 
+def _best_of(house: str, targets: list[str], cands: list) -> list[tuple]:
+    """(house, target, code, name, ordinal, score) of the highest score, the earlier ordinal first; upper bounds, greatest first, end the search."""
+    rows, matcher = [], SequenceMatcher(None)
+    numbers = [set(re.findall(r"\d+", c.base_norm)) for c in cands]
+    few = len(cands) <= FEW  # not worth a bound: a pair's score is at most 1
+    bounds = repeat(np.ones(len(cands))) if few else Bounds([c.base_norm for c in cands]).of(targets)
+    for target, bound in zip(targets, bounds):
+        wanted = set(re.findall(r"\d+", target))
+        inside = np.array([target in c.base_norm or c.base_norm in target for c in cands])
+        bound = np.where(inside, np.maximum(bound, fv.CONTAINMENT_SCORE), bound)
+        top, best = 0.0, None
+        for i in np.argsort(-bound, kind="stable").tolist():
+            if bound[i] < top:
+                break
+            if not wanted <= numbers[i]:
+                continue
+            matcher.set_seqs(target, cands[i].base_norm)
+            score = max(matcher.ratio(), fv.CONTAINMENT_SCORE if inside[i] else 0.0)
+            if score > top or best is not None and score == top and i < best:
+                top, best = score, i
+        if best is not None:
+            c = cands[best]
+            rows.append((house, target, c.amfi_code, c.fund_name, c.ordinal, top))
+    return rows
+
+
 def match_scheme(names: DataFrame, candidates: DataFrame) -> DataFrame:
     """(house, scheme_name_raw) with its best candidate and score.
 
     Equal keys are settled by an equi-join; only the rest is compared, and only with candidates
-    whose numbers include all numbers of the name. Ties go to the earlier ordinal.
+    whose numbers include all numbers of the name: a name meets the candidates that hold its rarest number, a name
+    without numbers all of its house. Ties go to the earlier ordinal.
     """
     keyed = names.withColumn("target", scheme_key(F.col("scheme_name_raw")))
     first = first_rows(candidates, ["house", "base_norm"], ["ordinal"])
     exact = keyed.join(first.withColumnRenamed("base_norm", "target"), ["house", "target"], "left").withColumn(
         "score", F.when(F.col("amfi_code").isNotNull() & (F.col("target") != ""), F.lit(1.0)))
+    exact = settle(exact)
     open_names = exact.filter("score is null and target <> ''").select("house", "target").distinct()
-    tiles = grid(open_names, candidates.select("house", "amfi_code", "fund_name", "ordinal", "base_norm"), ["house"],
-                 "target", "ordinal")
+
+    def numbered(df: DataFrame, key: str) -> DataFrame:
+        return exploded(df, F.array_distinct(F.regexp_extract_all(key, F.lit(r"(\d+)"), F.lit(1))), "number")
+
+    plain = candidates.select("house", "amfi_code", "fund_name", "ordinal", "base_norm")
+    listed = settle(numbered(plain, "base_norm"))
+    held = listed.groupBy("house", "number").agg(F.count(F.lit(1)).alias("n"))
+    told = numbered(open_names, "target").join(held, ["house", "number"], "left").groupBy("house", "target").agg(
+        F.min_by("number", F.struct("n", "number")).alias("number"), F.bool_and(F.col("n").isNotNull()).alias("all_held"))
+    digits = F.col("target").rlike(r"\d")
+    left = told.filter("all_held").drop("all_held").unionByName(open_names.filter(~digits).withColumn("number", F.lit("")))
+    tiles = grid(left, listed.unionByName(plain.withColumn("number", F.lit(""))), ["house", "number"], "target", "ordinal", packed=GROUPS)
     near = first_rows(tiles.applyInPandas(_tile_best, BEST), ["house", "target"], [F.desc("score"), "ordinal"])
     near = near.select("house", "target", F.col("amfi_code").alias("n_code"), F.col("fund_name").alias("n_name"),
                        F.col("score").alias("n_score"))
