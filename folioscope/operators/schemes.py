@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from folioscope import fixed_values as fv
 from folioscope.functions.names import base_scheme_name, house_key, is_regular_growth, is_single_class, scheme_key
 from folioscope.functions.similarity import Bounds
-from folioscope.scale import contained_pairs, exploded, first_rows, grid, settle
+from folioscope.scale import contained_pairs, exploded, first_rows, grid, settle, spread
 
 
 # --- houses ------------------------------------------------------------------------------
@@ -54,7 +54,7 @@ def map_house_strict(folders: DataFrame, houses: DataFrame, known: dict[str, str
 
 def build_candidates(house_schemes: DataFrame) -> DataFrame:
     """Regular-growth or single-class rows of (house, code, name, ordinal) with their base key."""
-    kept = house_schemes.filter(is_regular_growth(F.col("name")) | is_single_class(F.col("name")))
+    kept = spread(house_schemes).filter(is_regular_growth(F.col("name")) | is_single_class(F.col("name")))
     return kept.select("house", F.col("code").alias("amfi_code"), F.col("name").alias("fund_name"), "ordinal",
                        scheme_key(base_scheme_name(F.col("name"))).alias("base_norm")).filter("base_norm <> ''")
 
@@ -118,7 +118,8 @@ def match_scheme(names: DataFrame, candidates: DataFrame) -> DataFrame:
     whose numbers include all numbers of the name: a name meets the candidates that hold its rarest number, a name
     without numbers all of its house. Ties go to the earlier ordinal.
     """
-    keyed = names.withColumn("target", scheme_key(F.col("scheme_name_raw")))
+    keyed = spread(names).withColumn("target", scheme_key(F.col("scheme_name_raw")))
+    candidates = settle(candidates)
     first = first_rows(candidates, ["house", "base_norm"], ["ordinal"])
     exact = keyed.join(first.withColumnRenamed("base_norm", "target"), ["house", "target"], "left").withColumn(
         "score", F.when(F.col("amfi_code").isNotNull() & (F.col("target") != ""), F.lit(1.0)))
