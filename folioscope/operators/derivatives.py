@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions.text import cell_number, cell_text, collapse
 from folioscope.operators.sheets import FILE, SHEET, SHEET_KEYS, first_match, first_where, texts, usable_cell
+from folioscope.scale import exploded, null_safe_join, ordered_scan, settle
+
+GRAM = 8  # characters of the grams that names of a workbook are compared by
+NO_SHEET = -(1 << 40)  # place of rows without a sheet number: before all sheets
 
 
 def derivative_titles(cells: DataFrame) -> DataFrame:
@@ -33,23 +37,76 @@ def resolve_scheme_alias(titles: DataFrame, holdings: DataFrame) -> DataFrame:
 
     Schemes of the same sheet come first, then those of earlier sheets, each in row order; the
     first one equal to the title or containing it (or contained) wins. Without a title the last
-    scheme seen is taken; a sheet with neither yields nothing. The join is per workbook and meets
-    each distinct scheme of it once.
+    scheme seen is taken; a sheet with neither yields nothing. Each distinct title of a workbook meets
+    only the names that may contain it or be contained: both share the smaller text's rarest gram.
+    """
+    place, own = F.struct("sheet_idx", "part", "row_idx"), [*SHEET, "title"]
+    known = settle(holdings.groupBy(*FILE, F.col("sheet_idx").alias("k_sheet"), "scheme_name_raw").agg(
+        F.min(place).alias("k_first"), F.max(place).alias("k_last")))
+    number = F.coalesce("k_sheet", F.lit(NO_SHEET))
+    books = known.groupBy(*FILE).agg(F.min(number).alias("k_from"))
+    heard = F.col("k_from").isNull() | (F.col("k_from") == NO_SHEET) | (F.col("k_from") <= F.col("sheet_idx"))
+    wanted = settle(titles.join(books, FILE, "left").filter(heard).select(*own, name_form(F.col("title")).alias("t")))
+    names = known.withColumn("k", name_form(F.col("scheme_name_raw"))).filter("k <> ''")
+
+    t, k = F.col("t"), F.col("k")
+    here = names.withColumnRenamed("k_sheet", "sheet_idx").join(wanted, [*FILE, "sheet_idx"]).filter(t.contains(k) | k.contains(t))
+    here = here.groupBy(*own).agg(F.min_by("scheme_name_raw", "k_first").alias("here"))
+    asked = null_safe_join(wanted.filter("t is not null"), here, own, "left_anti")
+    first = names.groupBy(*FILE, "k").agg(F.min_by(F.struct("scheme_name_raw", "k_first", "k_sheet"), "k_first").alias("f"))
+    blank = first.groupBy(*FILE).agg(F.min_by("k", "f.k_first").alias("k")).withColumn("t", F.lit(""))  # any name contains it
+    fits = contained_names(asked.select(*FILE, "t"), first.select(*FILE, "k"), FILE).unionByName(blank.select(*FILE, "t", "k"))
+    before = asked.join(fits, [*FILE, "t"]).join(first, [*FILE, "k"]).filter(
+        F.col("f.k_sheet").isNull() | (F.col("f.k_sheet") <= F.col("sheet_idx")))
+    before = before.groupBy(*own).agg(F.min_by("f.scheme_name_raw", "f.k_first").alias("before"))
+    named = null_safe_join(null_safe_join(wanted.filter("title is not null").select(*own), here, own), before, own).select(
+        *SHEET, F.coalesce("here", "before", "title").alias("scheme_name_raw"))
+
+    sheets = known.groupBy(*FILE, number.alias("at")).agg(F.max_by(F.struct("scheme_name_raw"), "k_last").alias("latest"))
+    untitled = wanted.filter("title is null").select(*SHEET, F.coalesce("sheet_idx", F.lit(NO_SHEET)).alias("at"), F.lit(1).alias("asks"))
+    line = untitled.unionByName(sheets.withColumn("asks", F.lit(0)), allowMissingColumns=True)
+    line = ordered_scan(line, FILE, ["at", "asks", "sheet"], F.shiftright("at", 12), lasts={"seen": F.col("latest")})
+    last = line.filter("asks = 1").select(*SHEET, F.col("seen.scheme_name_raw").alias("scheme_name_raw"))
+    return named.unionByName(last).filter("scheme_name_raw is not null")
+
+
+def holds(big: str, small: str) -> Column:
+    return F.col(big).contains(F.col(small))
+
+
+def contained_names(titles: DataFrame, names: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, t, k): distinct pairs of a title and a name of one key of which one contains the other.
+
+    A text that another one contains hands over all its grams, also the one that the fewest texts of the key have.
+    The smaller text is looked up under that gram alone, so names that differ in a number meet few others; texts
+    shorter than a gram are grams of their length.
     """
-    place = F.struct("sheet_idx", "part", "row_idx")
-    known = holdings.groupBy(*FILE, F.col("sheet_idx").alias("k_sheet"), "scheme_name_raw").agg(
-        F.min(place).alias("k_first"), F.max(place).alias("k_last"))
-    pairs = titles.join(known, FILE, "left").filter(
-        F.col("k_sheet").isNull() | (F.col("k_sheet") <= F.col("sheet_idx")))
-    t, k = name_form(F.col("title")), name_form(F.col("scheme_name_raw"))
-    fits = (k != "") & (t.contains(k) | k.contains(t))
-    rank = F.when(F.col("k_sheet") == F.col("sheet_idx"), 0).otherwise(1)
-    best = pairs.groupBy(*SHEET, "title").agg(
-        F.min_by(F.when(fits, F.col("scheme_name_raw")),
-                 F.when(fits, F.struct(rank.alias("r"), F.col("k_first")))).alias("fit"),
-        F.max_by("scheme_name_raw", "k_last").alias("latest"))
-    return best.withColumn("scheme_name_raw", F.when(F.col("title").isNull(), F.col("latest")).otherwise(
-        F.coalesce("fit", "title"))).filter("scheme_name_raw is not null").select(*SHEET, "scheme_name_raw")
+    titles = titles.distinct()
+    names = names.join(titles.select(*keys).distinct(), keys, "left_semi").distinct()
+    texts = titles.select(*keys, F.col("t").alias("x")).unionByName(names.select(*keys, F.col("k").alias("x"))).distinct()
+    short = texts.filter(F.length("x").between(1, GRAM - 1))
+    lengths = short.groupBy(*keys).agg(F.collect_set(F.length("x")).alias("sizes"))  # at most GRAM - 1 numbers
+    grams = exploded(texts.join(lengths, keys, "left"), F.array_distinct(F.concat(
+        _grams("x", F.lit(GRAM)), F.flatten(F.transform(F.coalesce("sizes", F.array().cast("array<int>")), lambda n: _grams("x", n))))), "g")
+    grams = grams.select(*keys, "x", "g")
+    shared = grams.groupBy(*keys, "g").agg(F.count(F.lit(1)).alias("n"))
+    own = grams.filter((F.length("g") == GRAM) | (F.length("x") == F.length("g"))).join(shared, [*keys, "g"])
+    rarest = own.groupBy(*keys, F.col("x").alias("small")).agg(F.min_by("g", F.struct("n", "g")).alias("g"))
+
+    def inside(small: DataFrame, s: str, big: DataFrame, b: str) -> DataFrame:
+        looked = rarest.join(small.withColumnRenamed(s, "small"), [*keys, "small"], "left_semi")
+        around = grams.join(big.withColumnRenamed(b, "x"), [*keys, "x"], "left_semi")
+        return looked.join(around, [*keys, "g"]).filter(holds("x", "small")).select(
+            *keys, F.col("small").alias(s), F.col("x").alias(b))
+
+    return inside(names, "k", titles, "t").unionByName(inside(titles, "t", names, "k")).select(*keys, "t", "k").distinct()
+
+
+def _grams(text: str, size: Column) -> Column:
+    """Every run of ``size`` characters of a text; none if it is shorter."""
+    starts = F.sequence(F.lit(1), F.greatest(F.length(text) - size + 1, F.lit(1)))
+    return F.when(F.length(text) >= size, F.transform(starts, lambda i: F.substring(F.col(text), i, size))).otherwise(
+        F.array().cast("array<string>"))
 
 
 def futures_rows(cells: DataFrame) -> DataFrame:
@@ -100,9 +157,12 @@ def futures_rows(cells: DataFrame) -> DataFrame:
 
 
 def derivative_holdings(cells: DataFrame, holdings: DataFrame) -> DataFrame:
-    """Futures rows plus one offset row per sheet, without positions the workbook already has."""
-    schemes = resolve_scheme_alias(derivative_titles(cells), holdings)
-    found = futures_rows(cells).join(schemes, SHEET, "inner")
+    """Futures rows plus one offset row per sheet, without positions the workbook already has.
+
+    Titles' schemes and the rows found are settled: legs, offsets and the positions seen read them.
+    """
+    schemes = settle(resolve_scheme_alias(derivative_titles(cells), holdings))
+    found = settle(futures_rows(cells).join(schemes, SHEET, "inner"))
     none = F.lit(None)
     cell_type = "struct<s:string,n:double>"
     legs = found.select(
