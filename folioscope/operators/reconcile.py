@@ -14,20 +14,25 @@ from folioscope.scale import null_safe_join, ordered_scan, settle
 CHECKS = ["row_count", "corpus_sum", "market_value", "isins"]
 
 
-def isin_differences(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> DataFrame:
-    """One row per (scheme, isin) present on one side only; side is 'ours' or 'reference'."""
+def isin_differences(ours: DataFrame, ref: DataFrame, code: str = "amfi_code", tasks: int | None = None) -> DataFrame:
+    """One row per (scheme, isin) present on one side only; side is 'ours' or 'reference'.
+
+    Schemes we do not have are left out at the end, among the few codes that differ. ``tasks`` deals the codes over so
+    many tasks (see ``tasks_for``) before they are grouped.
+    """
     def side(df: DataFrame, ours_flag: int) -> DataFrame:
         return df.filter(F.col("isin").isNotNull() & (F.col("isin") != "")).select(
             code, "isin", F.lit(ours_flag).alias("__o"), F.lit(1 - ours_flag).alias("__r"))
 
-    ours_codes = ours.select(code).distinct()
-    both = side(ours, 1).unionByName(side(ref.join(ours_codes, code, "left_semi"), 0))
-    flags = both.groupBy(code, "isin").agg(F.max("__o").alias("o"), F.max("__r").alias("r"))
-    return flags.filter(F.col("o") != F.col("r")).select(
+    both = side(ours, 1).unionByName(side(ref.filter(F.col(code).isNotNull()), 0))
+    both = both.repartition(tasks, code, "isin") if tasks else both
+    flags = both.groupBy(code, "isin").agg(F.max("__o").alias("o"), F.max("__r").alias("r")).filter(F.col("o") != F.col("r"))
+    known = ours.select(code).distinct().withColumn("__known", F.lit(True))
+    return flags.join(known, code, "left").filter((F.col("o") == 1) | F.col("__known")).select(
         code, "isin", F.when(F.col("o") == 1, "ours").otherwise("reference").alias("side"))
 
 
-def reconcile(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> DataFrame:
+def reconcile(ours: DataFrame, ref: DataFrame, code: str = "amfi_code", tasks: int | None = None) -> DataFrame:
     """One row per scheme of ours: both row counts, weight and value sums, code differences."""
     def totals(df: DataFrame, who: str, *more: Column) -> DataFrame:
         return df.groupBy(code).agg(
@@ -38,7 +43,7 @@ def reconcile(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> DataF
     tagged = F.count_if(F.col("instrument_name") == fv.FALLBACK_INSTRUMENT).alias("tagged")
     mine = totals(ours, "our", F.min("fund_name").alias("fund_name"), tagged)
     theirs = totals(ref, "ref")
-    differing = isin_differences(ours, ref, code).groupBy(code).agg(
+    differing = isin_differences(ours, ref, code, tasks).groupBy(code).agg(
         F.count_if(F.col("side") == "ours").alias("only_ours"),
         F.count_if(F.col("side") == "reference").alias("only_ref"))
     joined = mine.join(theirs, code, "left").join(differing, code, "left")

@@ -13,6 +13,7 @@ from folioscope.plans.driver_tables import (
     LINE_ORDER, PART_CODE_SQL, WEIGHTED_SQL, coded_parts, line_block, ordered_lines, raw_holdings, weighted_lines,
 )
 from folioscope.plans.registry import query, table
+from folioscope.scale import tasks_for
 
 R6 = 6
 
@@ -239,6 +240,11 @@ k AS (
          (only_ours > 0 OR only_ref > 0)::INT AS f_isins FROM j)"""
 
 
+def line_tasks(spark: SparkSession, sf: str) -> int:
+    """Tasks for a shuffle of all lines; the count is read from the files' footers."""
+    return tasks_for(table(spark, sf, "lineitem").count(), spark)
+
+
 def reconcile_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     lines = table(spark, sf, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber", "l_extendedprice")
     ours = conv.with_group_totals(lines, ["l_suppkey"], {"total": F.sum("l_extendedprice")})
@@ -263,7 +269,7 @@ SELECT amfi_code, our_rows, ref_rows, round(our_corpus, 6) AS our_corpus, round(
        CASE WHEN f_rows + f_corpus + f_value + f_isins = 0 THEN 1 ELSE 0 END AS ok
 FROM k""")
 def reconcile_schemes(spark: SparkSession, sf: str) -> DataFrame:
-    out = rec.reconcile(*reconcile_inputs(spark, sf))
+    out = rec.reconcile(*reconcile_inputs(spark, sf), tasks=line_tasks(spark, sf))
     return out.select(
         "amfi_code", "our_rows", "ref_rows", F.round("our_corpus", R6).alias("our_corpus"),
         F.round("our_value", 4).alias("our_value"), F.round("ref_value", 4).alias("ref_value"), "only_ours", "only_ref",
@@ -276,7 +282,7 @@ SELECT amfi_code, isin, side FROM (
     SELECT amfi_code, isin, 1 AS o, 0 AS r FROM ours UNION ALL SELECT amfi_code, isin, 0, 1 FROM ref)
   GROUP BY 1, 2 HAVING max(o) <> max(r))""")
 def isin_differences(spark: SparkSession, sf: str) -> DataFrame:
-    return rec.isin_differences(*reconcile_inputs(spark, sf))
+    return rec.isin_differences(*reconcile_inputs(spark, sf), tasks=line_tasks(spark, sf))
 
 
 @query("house_diagnosis", RECONCILE_SQL + """
@@ -291,7 +297,7 @@ def house_diagnosis(spark: SparkSession, sf: str) -> DataFrame:
     houses = table(spark, sf, "supplier").join(
         table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     ).select(F.col("s_suppkey").alias("amfi_code"), F.col("n_name").alias("house"))
-    checks = rec.reconcile(*reconcile_inputs(spark, sf)).join(houses, "amfi_code")
+    checks = rec.reconcile(*reconcile_inputs(spark, sf), tasks=line_tasks(spark, sf)).join(houses, "amfi_code")
     out = rec.diagnose(checks, "house")
     return out.withColumns({"house": F.coalesce("house", F.lit("TOTAL")), "value_ratio": F.round("value_ratio", R6)})
 

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from folioscope.functions import canonical as K
 from folioscope.functions.similarity import Bounds
 from folioscope.operators import coverage as A
+from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
-from folioscope.scale import settle, spread
+from folioscope.scale import settle, spread, tasks_for
 
 
 def test_settled_rows_have_their_true_size(spark):
@@ -114,3 +115,13 @@ def test_match_scheme_meets_candidates_of_its_numbers_only(spark, monkeypatch):
     monkeypatch.setattr(S, "grid", lambda *a, **k: tiles.append(a) or grid(*a, **k, left_rows=8, right_rows=8))
     assert {(r.house, r.target): (r.amfi_code, round(r.score, 9)) for r in S.match_scheme(*sent).collect()} == want
     assert tiles[0][2] == ["house", "number"]
+
+
+def test_codes_are_dealt_by_their_number(spark):
+    schema = "amfi_code string, isin string"
+    ours = spark.createDataFrame([("1", "A"), ("1", "B"), ("1", "B"), (None, "N"), ("2", ""), ("3", "C")], schema)
+    ref = spark.createDataFrame([("1", "B"), ("1", "D"), (None, "N"), (None, "M"), ("2", "E"), ("9", "F"), ("3", "C"), ("3", None)], schema)
+    want = {("1", "A", "ours"), ("1", "D", "reference"), (None, "N", "ours"), ("2", "E", "reference")}
+    for tasks in (None, 7):
+        assert {tuple(r) for r in reconcile.isin_differences(ours, ref, tasks=tasks).collect()} == want
+    assert tasks_for(10, spark) == 4 and tasks_for(100, spark, per_task=9) == 12
