@@ -13,6 +13,7 @@ from folioscope.operators import completeness as V
 from folioscope.operators import documents as D
 from folioscope.operators import listing as L
 from folioscope.plans.registry import query, table
+from folioscope.scale import spread
 
 
 # --- periods -------------------------------------------------------------------------------
@@ -44,7 +45,7 @@ def period_extract(spark: SparkSession, sf: str) -> DataFrame:
         .when(k == 4, F.concat(F.lit("pf"), F.date_format(d, "ddMMyyyy")))
         .when(k == 5, F.concat(F.lit("archive/"), F.date_format(d, "yyyy/MMMM"))).otherwise("no date at all")
     )
-    rows = dated_orders(spark, sf).select("o_orderkey", text.alias("text"))
+    rows = spread(dated_orders(spark, sf)).select("o_orderkey", text.alias("text"))
     rows = rows.withColumn("p", P.extract_periods(F.col("text")))
     return rows.select("o_orderkey", "text", F.size("p").alias("n_periods"), F.get("p", F.lit(0)).alias("period"))
 
@@ -61,7 +62,7 @@ def as_of_period(spark: SparkSession, sf: str) -> DataFrame:
                                        F.lit(".xlsx"))).otherwise("scheme.xlsx")
     text = F.when(k % 2 == 0, F.concat(F.lit("Portfolio as on "), F.date_format(d, "dd MMMM yyyy"))).otherwise("Portfolio")
     folder = F.concat(F.lit("/uploads/"), F.date_format(F.add_months(d, 1), "yyyy-MM"), F.lit("/"))
-    rows = dated_orders(spark, sf).select(k, name.alias("name"), text.alias("text"), folder.alias("folder"))
+    rows = spread(dated_orders(spark, sf)).select(k, name.alias("name"), text.alias("text"), folder.alias("folder"))
     return rows.select(
         "o_orderkey", P.resolve_as_of(F.col("name"), F.col("text"), F.col("folder"), before="2022-12").alias("period"),
         F.size(P.extract_periods(F.col("name"))).alias("named"))
@@ -81,7 +82,7 @@ def period_flags(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("fund_"), F.lower(F.date_format(d, "MMMM_yyyy")), F.lit("_20e8c1644b.xlsx")))
     title = F.when(F.col("o_orderkey") % 5 == 0, "SDL December 2028 Index Fund as on").otherwise(
         F.concat(F.lit("SDL December 2028 Index Fund as on "), F.date_format(d, "MMMM dd, yyyy")))
-    rows = dated_orders(spark, sf).withColumns({"name": name, "title": title, "march": F.concat(F.date_format(d, "yyyy"), F.lit("-03"))})
+    rows = spread(dated_orders(spark, sf)).withColumns({"name": name, "title": title, "march": F.concat(F.date_format(d, "yyyy"), F.lit("-03"))})
     n, m = F.col("name"), F.col("march")
     return rows.select(
         "o_orderkey", P.period_matches(n, m).cast("int").alias("matches"), P.period_conflicts(n, m).cast("int").alias("conflicts"),

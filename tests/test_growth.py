@@ -1,5 +1,6 @@
 """What keeps figures in step with the input: honest sizes, work in many tasks, fewer comparisons."""
 
+import datetime as dt
 import json
 import random
 import unicodedata
@@ -9,10 +10,12 @@ import pandas as pd
 from pyspark.sql import functions as F
 
 from folioscope.functions import canonical as K
+from folioscope.functions.periods import extract_periods
 from folioscope.functions.similarity import Bounds
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
+from folioscope.plans.document_queries import as_of_period
 from folioscope.scale import settle, spread, tasks_for
 
 
@@ -125,3 +128,17 @@ def test_codes_are_dealt_by_their_number(spark):
     for tasks in (None, 7):
         assert {tuple(r) for r in reconcile.isin_differences(ours, ref, tasks=tasks).collect()} == want
     assert tasks_for(10, spark) == 4 and tasks_for(100, spark, per_task=9) == 12
+
+
+def test_periods_of_one_split_are_read_in_many_tasks(spark, tmp_path):
+    rows = [(i, dt.datetime(1996, 1 + i % 12, 28)) for i in range(64)]
+    spark.createDataFrame(rows, "o_orderkey long, o_orderdate timestamp").coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    out = as_of_period(spark, str(tmp_path))
+    assert out.select(F.spark_partition_id()).distinct().count() > 1
+    assert {r.named for r in out.collect()} == {0, 2} and out.filter("period IS NULL").count() == 0
+
+
+def test_texts_without_digits_name_no_period(spark):
+    texts = spark.createDataFrame([("Portfolio of May",), ("May 2026",), ("May%2026",), ("",), (None,), ("5/6",), ("Jun 25",)], "t string")
+    got = [r.p for r in texts.select(extract_periods(F.col("t")).alias("p")).collect()]
+    assert got[0] == [] and got[1] == ["2026-05"] and got[3:] == [[], [], [], ["2025-06"]]
