@@ -129,7 +129,7 @@ def alias_pairs(ours: DataFrame, ref: DataFrame, code: str = "amfi_code") -> Dat
     Input rows: (code, isin, quantity, mkt_value, row_id). The result keeps both sides in one
     table with a ``chain`` per scheme; a pair that matches always shares a chain.
     """
-    only = isin_differences(ours, ref, code)
+    only = settle(isin_differences(ours, ref, code))
     parts = []
     for df, who in ((ours, "ours"), (ref, "reference")):
         kept = df.join(only.filter(F.col("side") == who).select(code, "isin"), [code, "isin"], "left_semi")

@@ -142,3 +142,31 @@ def test_texts_without_digits_name_no_period(spark):
     texts = spark.createDataFrame([("Portfolio of May",), ("May 2026",), ("May%2026",), ("",), (None,), ("5/6",), ("Jun 25",)], "t string")
     got = [r.p for r in texts.select(extract_periods(F.col("t")).alias("p")).collect()]
     assert got[0] == [] and got[1] == ["2026-05"] and got[3:] == [[], [], [], ["2025-06"]]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+
+class _Seen(Exception):
+    pass
+
+
+def _input_of(monkeypatch, module, name, run):
+    """The first argument with which a query calls an operator."""
+    def stop(df, *_, **__):
+        raise _Seen(df)
+
+    monkeypatch.setattr(module, name, stop)
+    try:
+        run()
+    except _Seen as seen:
+        return seen.args[0]
+
+
+
+def test_differing_codes_are_found_once(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a", 1.0, 1.0, 1)], "amfi_code long, isin string, quantity double, mkt_value double, row_id long")
+    first = _input_of(monkeypatch, reconcile, "settle", lambda: reconcile.alias_pairs(rows, rows))
+    assert first.columns == ["amfi_code", "isin", "side"]
