@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import html
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
@@ -58,10 +57,13 @@ def contains_any(text: Column, words: list[str]) -> Column:
     return hit
 
 
-@F.pandas_udf(StringType())
-def unescape_entities(text: pd.Series) -> pd.Series:
-    """HTML entities to characters; the full entity table lives in Python's stdlib only."""
-    return text.map(lambda t: html.unescape(t) if t is not None and "&" in t else t)
+@F.udf(StringType(), useArrow=False)
+def unescape_entities(text: str | None) -> str | None:
+    """HTML entities to characters; the full entity table lives in Python's stdlib only.
+
+    Whole pages come through, so rows go one by one: an Arrow batch would hold up to 10,000 pages at a time.
+    """
+    return html.unescape(text) if text is not None and "&" in text else text
 
 
 def clean_html_text(text: Column) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import canonical as K
 from folioscope.functions.periods import extract_periods
 from folioscope.functions.similarity import Bounds
+from folioscope.functions.text import unescape_entities
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
@@ -170,3 +171,10 @@ def test_differing_codes_are_found_once(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "a", 1.0, 1.0, 1)], "amfi_code long, isin string, quantity double, mkt_value double, row_id long")
     first = _input_of(monkeypatch, reconcile, "settle", lambda: reconcile.alias_pairs(rows, rows))
     assert first.columns == ["amfi_code", "isin", "side"]
+
+
+def test_pages_go_to_python_one_by_one(spark):
+    """An Arrow batch holds up to 10,000 whole pages."""
+    df = spark.createDataFrame([("a &amp; b",), (None,), ("&lt;",)], "t string").select(unescape_entities("t").alias("u"))
+    assert "ArrowEvalPython" not in _plan(df) and "BatchEvalPython" in _plan(df)
+    assert [r.u for r in df.collect()] == ["a & b", None, "<"]
