@@ -16,7 +16,7 @@ from folioscope.operators import layouts
 from folioscope.operators import listing as P
 from folioscope.plans.registry import query, table
 from folioscope.plans.sheet_queries import at, printed_sheets, row_of, scheme_name, sheet_frame, suppliers
-from folioscope.scale import last_rows, shared_folder
+from folioscope.scale import last_rows, settle, shared_folder
 from folioscope.sources import tables as S
 
 MONTHS = [f"2026-0{m}" for m in range(1, 8)]
@@ -152,7 +152,7 @@ def parsed_month(spark: SparkSession, sf: str) -> DataFrame:
         F.lit("Index").alias("sheet"), F.lit(-1).alias("sheet_idx"), F.lit(0).alias("row_idx"),
         row_of(1.0, typed_cell(text=F.concat(F.lit("S"), "l_suppkey")), typed_cell(text=F.concat(F.lit("Indexed Fund "), "l_suppkey"))).cast(
             "array<struct<s:string,n:double>>").alias("cells"))
-    held = layouts.parse_period(cells.unionByName(index))
+    held = layouts.parse_period(settle(cells.unionByName(index)))  # each layout and step reads the cells
     first = held.groupBy("amc").agg(F.min("ord").alias("lowest"))
     out = held.filter("isin IS NOT NULL").groupBy("amc", "scheme_name_raw", "source_file", "sheet").agg(
         F.count(F.lit(1)).alias("holdings"), F.round(F.sum(cell_number(F.col("market_value_raw"))), 2).alias("value_total"))

@@ -16,8 +16,10 @@ from folioscope.functions.text import unescape_entities
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
+from folioscope.operators import convert, layouts
+from folioscope.plans import holdings_queries, landing_queries
 from folioscope.plans.document_queries import as_of_period
-from folioscope.scale import settle, spread, tasks_for
+from folioscope.scale import ordered_scan, settle, spread, tasks_for
 
 
 def test_settled_rows_have_their_true_size(spark):
@@ -149,6 +151,31 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_scanned_rows_move_once(spark):
+    """The join with what earlier blocks hand on leaves rows where their window has put them; null keys, values and orders count as well."""
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    rows = [(k, t, i if i % 7 else None, float(i)) for k, t in ((1, "a"), (None, "a"), (1, None), (2, "")) for i in range(40)]
+    df = spark.createDataFrame(rows, "k long, t string, o long, v double")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        scanned = ordered_scan(df, ["k", "t"], ["o", "v"], F.shiftright("o", 3), sums={"s": F.col("v")}, previous={"p": F.struct("k", "v")},
+                               position="at")
+        moves = [line for line in _plan(scanned).splitlines() if "Exchange hashpartitioning" in line]
+        assert not any("coalesce(k#" in line or "coalesce(t#" in line for line in moves)
+        assert scanned.columns == ["k", "t", "o", "v", "s", "at", "p"]
+        got = scanned.collect()
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    assert len(got) == len(rows)
+    for key in {r[:2] for r in rows}:
+        own = sorted((r for r in rows if r[:2] == key), key=lambda r: (r[2] is not None, r[2] or 0, r[3]))
+        found = sorted((r for r in got if (r.k, r.t) == key), key=lambda r: r["at"])
+        assert [(r.o, r.v) for r in found] == [r[2:] for r in own]
+        assert [r.s for r in found] == [sum(x[3] for x in own[:i + 1]) for i in range(len(own))]
+        assert [r.p and tuple(r.p) for r in found] == [None] + [(key[0], x[3]) for x in own[:-1]]
+
 
 class _Seen(Exception):
     pass
@@ -166,6 +193,23 @@ def _input_of(monkeypatch, module, name, run):
         return seen.args[0]
 
 
+def _tables(spark, folder):
+    spark.range(40).selectExpr("id div 4 l_orderkey", "cast(id % 4 as int) l_linenumber", "id % 5 l_partkey", "id % 3 l_suppkey",
+                               "cast(id as double) l_extendedprice", "1.0D l_quantity", "'N' l_returnflag").write.parquet(f"{folder}/lineitem.parquet")
+    spark.range(5).selectExpr("id p_partkey", "'bolt' p_name", "'STEEL' p_type", "cast(id as int) p_size", "'Brand#1' p_brand").write.parquet(
+        f"{folder}/part.parquet")
+    spark.range(3).selectExpr("id s_suppkey").write.parquet(f"{folder}/supplier.parquet")
+    return str(folder)
+
+
+def test_printed_rows_are_made_once(spark, monkeypatch, tmp_path):
+    """Operators that read their input several times get settled rows, not the scans these come from."""
+    sf = _tables(spark, tmp_path)
+    marked = _input_of(monkeypatch, convert, "mark_restated_totals", lambda: holdings_queries.restated_totals(spark, sf))
+    cells = _input_of(monkeypatch, layouts, "parse_period", lambda: landing_queries.parsed_month(spark, sf))
+    assert "Window" not in _plan(marked) and "Window" not in _plan(cells)
+    assert marked.filter("identifiable").count() == 40
+
 
 def test_differing_codes_are_found_once(spark, monkeypatch):
     rows = spark.createDataFrame([(1, "a", 1.0, 1.0, 1)], "amfi_code long, isin string, quantity double, mkt_value double, row_id long")
