@@ -21,7 +21,7 @@ def check_digits(code: Column) -> Column:
     """The digit string the check runs over: letters count 10..35."""
     letters = F.transform(
         F.split(_bare(code), ""),
-        lambda c: F.when(c.rlike("[A-Z]"), (F.ascii(c) - 55).cast("string")).otherwise(c),
+        lambda c: F.when(c.between("A", "Z"), (F.ascii(c) - 55).cast("string")).otherwise(c),
     )
     return F.array_join(letters, "")
 

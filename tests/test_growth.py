@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import functions as F
 
+from folioscope.contracts import CELLS
 from folioscope.functions import canonical as K
 from folioscope.functions.periods import extract_periods
 from folioscope.functions.similarity import Bounds
@@ -16,7 +17,7 @@ from folioscope.functions.text import unescape_entities
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
-from folioscope.operators import convert, layouts
+from folioscope.operators import convert, layouts, sheets
 from folioscope.plans import holdings_queries, landing_queries
 from folioscope.plans.document_queries import as_of_period
 from folioscope.scale import ordered_scan, settle, spread, tasks_for
@@ -223,3 +224,49 @@ def test_pages_go_to_python_one_by_one(spark):
     df = spark.createDataFrame([("a &amp; b",), (None,), ("&lt;",)], "t string").select(unescape_entities("t").alias("u"))
     assert "ArrowEvalPython" not in _plan(df) and "BatchEvalPython" in _plan(df)
     assert [r.u for r in df.collect()] == ["a & b", None, "<"]
+
+
+def _moves(df):
+    """Shuffles a plan writes (with joins that do not broadcast), without those it reads once more."""
+    spark = df.sparkSession
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        plan = _plan(df.select("*"))
+    finally:
+        for name, value in kept.items():
+            spark.conf.set(name, value)
+    return [line for line in plan.splitlines() if " Exchange hashpartitioning" in line and "ReusedExchange" not in line]
+
+
+def _pages(spark, cell, sheets_of=3):
+    head = ["Name of the Instrument", "ISIN", "Industry", "Quantity", "Market Value", "% to Net Assets"]
+    a, b = "INE040A01034", "INE002A01018"
+    lines = [["Alpha Fund"], head, ["Equity"], ["HDFC Bank", a, "Banks", 10, 50.5, 60], ["Reliance Ltd", b, "Oil", 10, 50.5, 40],
+             ["Beta Fund"], head, ["Infosys future", None, None, 5, -2, -1], ["Notes"], ["After", a, "x", 1, 1, 1]]
+    rows = [("h", "2026-05", f"f{k % 2}", f"S{k}", k, i, [cell(v) for v in line]) for k in range(sheets_of) for i, line in enumerate(lines)]
+    rows += [("h", None, "f0", "S9", 9, i, [cell(v) for v in line]) for i, line in enumerate(lines)]
+    return spark.createDataFrame(rows, CELLS)
+
+
+def test_cells_of_a_sheet_move_once(spark, cell):
+    """Marking, content columns, titles and body each dealt all cells again, and the marked cells were written as well."""
+    held = sheets.parse_sheets(_pages(spark, cell))
+    assert len(_moves(held)) == 1 and len(_moves(sheets.merge_receivables(held))) == 1
+    got = {(r.sheet, r.scheme_name_raw, r.section_header, r.security_name, r.isin) for r in held.collect()}
+    assert got == {(f"S{k}", *x) for k in range(3) for x in (
+        ("Alpha Fund", "Equity", "HDFC Bank", "INE040A01034"), ("Alpha Fund", "Equity", "Reliance Ltd", "INE002A01018"),
+        ("Beta Fund", None, "Infosys future", None))}
+
+
+def test_columns_in_a_sheet_are_those_of_any_table(spark, cell):
+    rnd = random.Random(5)
+    codes = ["INE040A01034", "INE002A01018", "US5949181045"]
+    rows = [("h", "2026-05", "f", f"S{k}", k, i, [cell(rnd.choice([*codes, "Some Bank", f"Name {i}", "x", None, 5])) for _ in range(5)])
+            for k in range(12) for i in range(rnd.randrange(1, 9))]
+    cells = spark.createDataFrame(rows, CELLS)
+    found = sheets.locate_in_sheets(sheets.coded_rows(cells), sheets.SHEET_KEYS).filter("name_col is not null")
+    want = sheets.locate_columns(cells, sheets.SHEET_KEYS)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) != []
