@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 from folioscope import fixed_values as fv
 from folioscope.functions.isin import has_isin_shape, is_valid_isin, issuer_prefix
 from folioscope.functions.names import clean_name, has_expiry_suffix, match_key
-from folioscope.operators.sheets import carry_in_sheet, locate_columns
+from folioscope.operators.sheets import carry_in_sheet, coded_rows, dealt_sheets, locate_in_sheets
 from folioscope.scale import first_rows
 
 SHEET = ["amc", "period", "source_file", "sheet_idx"]
 
 
 def harvest_rows(cells: DataFrame) -> DataFrame:
-    """Every named row of a located sheet as linked / contract / unlinked / section."""
-    located = locate_columns(cells, SHEET)
-    rows = cells.join(located, SHEET, "inner")
+    """Every named row of a located sheet as linked / contract / unlinked / section.
+
+    Rows move once: a sheet's columns are found where its rows have been dealt.
+    """
+    dealt = dealt_sheets(cells)
+    located = locate_in_sheets(coded_rows(dealt), SHEET).filter("name_col is not null")
+    rows = dealt.join(located.hint("shuffle_hash"), SHEET, "inner")  # one row a sheet
     raw = F.get("cells", F.col("name_col"))["s"]
     code = F.upper(F.trim(F.get("cells", F.col("isin_col"))["s"]))
     rows = rows.withColumns({"raw_name": raw, "code": F.coalesce(code, F.lit(""))})

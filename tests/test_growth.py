@@ -17,7 +17,7 @@ from folioscope.functions.text import unescape_entities
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
-from folioscope.operators import convert, layouts, sheets
+from folioscope.operators import convert, identity, layouts, sheets
 from folioscope.plans import holdings_queries, landing_queries
 from folioscope.plans.document_queries import as_of_period
 from folioscope.scale import ordered_scan, settle, spread, tasks_for
@@ -260,6 +260,14 @@ def test_cells_of_a_sheet_move_once(spark, cell):
         ("Beta Fund", None, "Infosys future", None))}
 
 
+def test_harvested_cells_move_once(spark, cell):
+    rows = identity.harvest_rows(_pages(spark, cell))
+    assert len(_moves(rows)) == 1
+    got = {(r.sheet, r.name, r.kind, r.section) for r in rows.filter("kind <> 'section'").collect()}
+    assert got == {(f"S{k}", *x) for k in range(3) for x in (
+        ("HDFC Bank", "linked", "Equity"), ("Reliance Ltd", "linked", "Equity"), ("Infosys future", "unlinked", "Beta Fund"), ("After", "linked", "Notes"))}
+
+
 def test_columns_in_a_sheet_are_those_of_any_table(spark, cell):
     rnd = random.Random(5)
     codes = ["INE040A01034", "INE002A01018", "US5949181045"]
