@@ -278,3 +278,17 @@ def test_columns_in_a_sheet_are_those_of_any_table(spark, cell):
     want = sheets.locate_columns(cells, sheets.SHEET_KEYS)
     assert found.columns == want.columns
     assert sorted(map(str, found.collect())) == sorted(map(str, want.collect())) != []
+
+
+def test_copies_of_a_scheme_are_looked_for_in_place(spark):
+    """Rows move to their position and to their place in the copy; the scheme's size and verdict come to them."""
+    rows = [(k, c, i, float(i % 7), 100.0 / n) for k, n, copies in ((1, 10, 2), (2, 9, 3), (3, 8, 1), (None, 4, 2)) for c in range(copies) for i in range(n)]
+    rows += [(4, 0, i, float(i), 50.0) for i in range(4)] + [(1, 9, None, 1.0, 0.0)] * 2  # 4: twice by its total, but rows differ
+    df = spark.createDataFrame(rows, "k long, c int, o int, v double, p double")
+    kept = sheets.drop_duplicate_blocks(df, ("k",), ("c", "o"), F.struct("c", F.shiftright("o", 2)), (F.col("v"),), F.col("p"))
+    assert kept.columns == df.columns
+    assert len([m for m in _moves(kept) if "REPARTITION_BY_COL" in m]) == 1 and "LeftAnti" not in _plan(kept)
+    counts = {r.k: r["count"] for r in kept.groupBy("k").count().collect()}
+    assert counts == {1: 22, 2: 9, 3: 8, None: 8, 4: 4}
+    kept = sheets.drop_duplicate_blocks(df.filter("o is not null"), ("k",), ("c", "o"), F.struct("c", F.shiftright("o", 2)), (F.col("v"),), F.col("p"))
+    assert {r.k: r["count"] for r in kept.groupBy("k").count().collect()} == {1: 10, 2: 9, 3: 8, None: 8, 4: 4}
