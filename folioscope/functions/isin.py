@@ -13,8 +13,8 @@ def _bare(code: Column) -> Column:
 
 
 def has_isin_shape(code: Column) -> Column:
-    """Two letters, nine letters or digits, one digit."""
-    return F.coalesce(_bare(code).rlike(fv.ISIN_PATTERN), F.lit(False))
+    """Two letters, nine letters or digits, one digit; a line end may follow."""
+    return F.coalesce(F.length(F.trim(code)).between(12, 14) & _bare(code).rlike(fv.ISIN_PATTERN), F.lit(False))
 
 
 def check_digits(code: Column) -> Column:
@@ -28,7 +28,7 @@ def check_digits(code: Column) -> Column:
 
 def is_valid_isin(code: Column) -> Column:
     """Shape plus ISO 6166 check digit."""
-    checked = F.when(_bare(code).rlike(fv.ISIN_PATTERN), F.call_function("luhn_check", check_digits(code)))
+    checked = F.when(has_isin_shape(code), F.call_function("luhn_check", check_digits(code)))
     return F.coalesce(checked, F.lit(False))
 
 

@@ -17,9 +17,10 @@ def has_expiry_suffix(raw: Column) -> Column:
 
 
 def clean_name(raw: Column) -> Column:
-    """Prefix, expiry stamp and trailing footnote marks removed."""
-    bare = F.regexp_replace(collapse(raw), fv.INSTRUMENT_PREFIX_PATTERN, "")
-    bare = F.regexp_replace(bare, fv.EXPIRY_SUFFIX_PATTERN, "")
+    """Prefix, expiry stamp and trailing footnote marks removed. The first two have a dash."""
+    text = collapse(raw)
+    bare = F.regexp_replace(F.regexp_replace(text, fv.INSTRUMENT_PREFIX_PATTERN, ""), fv.EXPIRY_SUFFIX_PATTERN, "")
+    bare = F.when(contains_any(text, ["-", "–"]), bare).otherwise(text)
     return F.trim(F.regexp_replace(bare, fv.FOOTNOTE_TAIL_PATTERN, ""))
 
 

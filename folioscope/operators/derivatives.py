@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope import fixed_values as fv
-from folioscope.functions.text import cell_number, cell_text, collapse
+from folioscope.functions.text import cell_number, cell_text, collapse, contains_any
 from folioscope.operators.sheets import FILE, SHEET, SHEET_KEYS, first_match, first_where, texts, usable_cell
 from folioscope.scale import exploded, null_safe_join, ordered_scan, settle
 
@@ -23,7 +23,8 @@ def derivative_titles(cells: DataFrame) -> DataFrame:
     t = texts()
     named = first_where(F.transform(t, title), lambda x: x.isNotNull())
     unnamed = F.exists(t, lambda x: x.rlike(fv.DERIVATIVE_UNTITLED_PATTERN) | x.rlike(fv.FUTURES_HEADING_PATTERN))
-    rows = cells.select(*SHEET, "row_idx", named.alias("named"), unnamed.alias("unnamed"))
+    said = F.exists("cells", lambda c: F.coalesce(contains_any(F.lower(c["s"]), fv.DISCLOSURE_WORDS), F.lit(False)))
+    rows = cells.filter(said).select(*SHEET, "row_idx", named.alias("named"), unnamed.alias("unnamed"))
     first = F.min(F.when(F.col("named").isNotNull(), F.struct("row_idx", "named")))["named"]
     return rows.filter("named is not null or unnamed").groupBy(*SHEET).agg(first.alias("title"))
 
@@ -162,7 +163,8 @@ def derivative_holdings(cells: DataFrame, holdings: DataFrame) -> DataFrame:
     Titles' schemes and the rows found are settled: legs, offsets and the positions seen read them.
     """
     schemes = settle(resolve_scheme_alias(derivative_titles(cells), holdings))
-    found = settle(futures_rows(cells).join(schemes, SHEET, "inner"))
+    disclosed = cells.join(schemes.select(*SHEET_KEYS).distinct(), SHEET_KEYS, "left_semi")
+    found = settle(futures_rows(disclosed).join(schemes, SHEET, "inner"))
     none = F.lit(None)
     cell_type = "struct<s:string,n:double>"
     legs = found.select(

@@ -94,10 +94,10 @@ def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
     """Cells of many houses and months -> holdings_raw, each house in its own layout.
 
     ``layouts`` is (amc, layout) with layout in generic, fixed, index, filename; a house that is
-    not listed is generic. The houses' own table is taken by default.
+    not listed is generic. The houses' own table is taken by default. It is settled: rows made on the driver have no
+    known size, and a join with them would deal all cells by house.
     """
-    if layouts is None:
-        layouts = house_layouts(cells.sparkSession)
+    layouts = settle(house_layouts(cells.sparkSession) if layouts is None else layouts)
     tagged = cells.join(layouts, "amc", "left").withColumn("layout", F.coalesce("layout", F.lit("generic")))
 
     def part(name: str) -> DataFrame:
@@ -117,10 +117,10 @@ def parse_period(cells: DataFrame, layouts: DataFrame | None = None,
 
 def _generic(cells: DataFrame, overrides: DataFrame | None) -> DataFrame:
     held = settle(sheets.merge_receivables(sheets.parse_sheets(cells), overrides))
-    return held.unionByName(derivative_holdings(cells, held))
+    return held.unionByName(settle(derivative_holdings(cells, held)))  # the order reads both twice
 
 
 def with_order_and_clean(rows: DataFrame, overrides: DataFrame | None) -> DataFrame:
     """Repeated labels go first: they would break the split into equal copies."""
-    return sheets.drop_duplicate_blocks(settle(sheets.drop_repeated_labels(with_order(settle(rows)), overrides)))
+    return sheets.drop_duplicate_blocks(settle(sheets.drop_repeated_labels(with_order(rows), overrides)))
 

@@ -11,13 +11,16 @@ from pyspark.sql import functions as F
 
 from folioscope.contracts import CELLS
 from folioscope.functions import canonical as K
+from folioscope import fixed_values as fv
+from folioscope.functions.isin import has_isin_shape, is_valid_isin
+from folioscope.functions.names import clean_name
 from folioscope.functions.periods import extract_periods
 from folioscope.functions.similarity import Bounds
-from folioscope.functions.text import unescape_entities
+from folioscope.functions.text import collapse, unescape_entities
 from folioscope.operators import coverage as A
 from folioscope.operators import reconcile
 from folioscope.operators import schemes as S
-from folioscope.operators import convert, identity, layouts, sheets
+from folioscope.operators import convert, derivatives, identity, layouts, sheets
 from folioscope.plans import holdings_queries, landing_queries
 from folioscope.plans.document_queries import as_of_period
 from folioscope.scale import ordered_scan, settle, spread, tasks_for
@@ -292,3 +295,45 @@ def test_copies_of_a_scheme_are_looked_for_in_place(spark):
     assert counts == {1: 22, 2: 9, 3: 8, None: 8, 4: 4}
     kept = sheets.drop_duplicate_blocks(df.filter("o is not null"), ("k",), ("c", "o"), F.struct("c", F.shiftright("o", 2)), (F.col("v"),), F.col("p"))
     assert {r.k: r["count"] for r in kept.groupBy("k").count().collect()} == {1: 10, 2: 9, 3: 8, None: 8, 4: 4}
+
+
+def test_layouts_have_a_known_size(spark, cell, monkeypatch):
+    """Rows made on the driver have none, so that the join with them dealt all cells by house, five times."""
+    parsed = []
+    monkeypatch.setattr(layouts.sheets, "parse_sheets", lambda cells: parsed.append(cells) or _stop())
+    try:
+        layouts.parse_period(_pages(spark, cell))
+    except _Seen:
+        pass
+    assert "BroadcastHashJoin" in _plan(parsed[0]) and "SortMergeJoin" not in _plan(parsed[0])
+
+
+def _stop():
+    raise _Seen()
+
+
+def test_disclosures_are_looked_for_where_the_words_stand(spark, cell):
+    lines = [["Derivative  Disclosure - Alpha Fund"], ["DERIVATIVE DISCLOSURE for the period"], ["a) Hedging position through futures"],
+             [None, 5, "plain"], ["hedge"], ["2) derivative\tdisclosure"]]
+    rows = [("h", "2026-05", "f", f"S{i}", i, 0, [cell(v) for v in line]) for i, line in enumerate(lines)]
+    found = derivatives.derivative_titles(spark.createDataFrame(rows, CELLS)).collect()
+    assert {(r.sheet, r.title) for r in found} == {("S0", "Alpha Fund"), ("S1", None), ("S2", None), ("S5", None)}
+
+
+def test_names_and_codes_without_patterns_are_as_with_them(spark):
+    """Prechecks leave out patterns that cannot match."""
+    texts = [" EQ - A  Bank **", "FUT–X 12-Jan-2026", "A B", "a\tb", "", None, "x - 5-May-26 ", "Plain^", "Instrument Name", "PARTICULARS", "company / issuer",
+             "ISIN", "total", "INE040A01034", "ine040a01034", " INE002A01018 ", "INE040A01035", "INE040A01034\n", "US5949181045", "INE040A0103"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    one = F.trim(F.regexp_replace(t, r"\s+", " "))
+    plain = F.regexp_replace(F.regexp_replace(one, fv.INSTRUMENT_PREFIX_PATTERN, ""), fv.EXPIRY_SUFFIX_PATTERN, "")
+    rows = F.coalesce(t.rlike(fv.STRUCTURE_ROW_PATTERN) | t.rlike(fv.NAME_HEADER_PATTERN) | t.rlike(fv.ISIN_HEADER_PATTERN), F.lit(False))
+    shape = F.coalesce(F.upper(F.trim(t)).rlike(fv.ISIN_PATTERN), F.lit(False))
+    pairs = [(collapse(t), one), (clean_name(t), F.trim(F.regexp_replace(plain, fv.FOOTNOTE_TAIL_PATTERN, ""))),
+             (sheets.is_structure_row(t), rows), (has_isin_shape(t), shape)]
+    got = df.select(*[c.alias(f"c{i}") for i, p in enumerate(pairs) for c in [F.struct(p[0].alias("a"), p[1].alias("b"))]]).collect()
+    assert all(x["a"] == x["b"] for r in got for x in r)
+    valid = {r.t for r in df.filter(is_valid_isin(t)).collect()}
+    assert valid == {"INE040A01034", "ine040a01034", " INE002A01018 ", "INE040A01034\n", "US5949181045"} or valid == {
+        "INE040A01034", "ine040a01034", " INE002A01018 ", "US5949181045"}
