@@ -337,3 +337,16 @@ def test_names_and_codes_without_patterns_are_as_with_them(spark):
     valid = {r.t for r in df.filter(is_valid_isin(t)).collect()}
     assert valid == {"INE040A01034", "ine040a01034", " INE002A01018 ", "INE040A01034\n", "US5949181045"} or valid == {
         "INE040A01034", "ine040a01034", " INE002A01018 ", "US5949181045"}
+
+
+def test_bounds_that_reach_the_floor():
+    """Only these bounds are made; tables are made for all texts at once, also of characters outside the basic plane."""
+    rnd = random.Random(6)
+    texts = ["".join(rnd.choices("aabcd 12é\U0001d400", k=rnd.randrange(0, 30))) for _ in range(80)] + [""]
+    asked = texts[:20] + ["zzz", "a" * 90, "", "\U0001d401b"]
+    bounds = Bounds(texts)
+    assert len(Bounds([]).table) == 0 and A.NEAR_FORMS >= 4096
+    for text, whole, common in zip(asked, bounds.of(asked), bounds.common(asked), strict=True):
+        at, bound = bounds.reaching(text, common, 0.7)
+        assert whole.tolist() == [SequenceMatcher(None, text, t).quick_ratio() for t in texts]
+        assert at.tolist() == [i for i, b in enumerate(whole) if b >= 0.7] and bound.tolist() == [b for b in whole if b >= 0.7]
